@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,12 @@ def watermark(
 
 def load_checkpoint(checkpoints: DataFrame, pipeline: str, resource: str) -> Cursor | None:
     """The stored cursor of one table, or None."""
-    found = read_checkpoint(checkpoints, pipeline, resource).head()
-    return Cursor(found.last_updated_at, found.last_id) if found else None
+    stored = read_checkpoint(checkpoints, pipeline, resource)
+    found = stored.select(F.unix_micros("last_updated_at").alias("micros"), "last_id").head()
+    if found is None:
+        return None
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return Cursor(epoch + timedelta(microseconds=found.micros), found.last_id)
 
 
 def read_checkpoint(checkpoints: DataFrame, pipeline: str, resource: str) -> DataFrame:
@@ -82,6 +87,6 @@ def replay_cursor(
     seen = running_max_before(rows, group, bucket, arrival, F.when(t.isNotNull(), position), "_seen")
     ahead = F.col("_seen").isNull() | (position > F.col("_seen"))
     if cursor is not None:
-        start = F.struct(F.lit(cursor.ts).alias("ts"), F.lit(cursor.id).cast("bigint").alias("id"))
+        start = F.struct(cursor.literal(rows, ts).alias("ts"), F.lit(cursor.id).cast("bigint").alias("id"))
         ahead = ahead & (position > start)
     return seen.filter(t.isNull() | ahead).drop("_seen")

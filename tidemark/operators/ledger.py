@@ -101,7 +101,7 @@ def daily_rollup(ledger: DataFrame, time_zone: str = LOCAL_TIME_ZONE) -> DataFra
     return done.groupBy(F.date_trunc("day", local).cast("timestamp_ntz").alias("day"), *TABLE, "mode").agg(
         F.count_if(F.col("status") == "success").alias("success_count"),
         F.count_if(F.col("status") == "failed").alias("failure_count"),
-        F.avg("duration_seconds").cast("double").alias("avg_duration_s"),
+        (F.sum("duration_seconds").cast("double") / F.count("duration_seconds")).alias("avg_duration_s"),
         F.percentile(duration, 0.95).alias("p95_duration_s"),
         F.sum("fetched_count").alias("total_fetched"),
         F.sum("upserted_count").alias("total_upserted"),

@@ -3,33 +3,36 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import OVERLAP_MINUTES
 
 
 @dataclass(frozen=True)
 class Cursor:
-    """The last processed position."""
+    """The last processed position. A time without a zone is UTC."""
 
     ts: datetime
     id: int = 0
 
+    def literal(self, rows: DataFrame, ts: str, minutes_before: int = 0) -> Column:
+        """The time as a constant of the column's own type, so that comparisons reach the file scan."""
+        zoned = self.ts if self.ts.tzinfo else self.ts.replace(tzinfo=timezone.utc)
+        moved = zoned.astimezone(timezone.utc) - timedelta(minutes=minutes_before)
+        if isinstance(rows.schema[ts].dataType, T.TimestampNTZType):
+            return F.lit(moved.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+        return F.lit(moved.isoformat(" ")).cast("timestamp")
+
 
 def overlap_scan(
     rows: DataFrame, cursor: Cursor, ts: str = "updated_at", minutes: int = OVERLAP_MINUTES
 ) -> DataFrame:
     """Rows no older than the cursor minus the overlap; the bound reaches the file scan."""
-    return rows.filter(F.col(ts) >= F.lit(cursor.ts - timedelta(minutes=minutes)))
-
-
-def is_new(cursor: Cursor, ts: str = "updated_at", id_column: str = "id") -> Column:
-    """True behind the cursor, and for rows without a timestamp."""
-    t, i = F.col(ts), F.coalesce(F.col(id_column), F.lit(0))
-    return t.isNull() | (t > F.lit(cursor.ts)) | ((t == F.lit(cursor.ts)) & (i > cursor.id))
+    return rows.filter(F.col(ts) >= cursor.literal(rows, ts, minutes))
 
 
 def read_incremental(
@@ -51,6 +54,9 @@ def read_incremental(
         return rows
     t = F.col(ts)
     if late_rows == "reprocess":
-        return rows.filter(t.isNull() | (t >= F.lit(cursor.ts - timedelta(minutes=minutes))))
+        return rows.filter(t.isNull() | (t >= cursor.literal(rows, ts, minutes)))
+    start, i = cursor.literal(rows, ts), F.coalesce(F.col(id_column), F.lit(0))
     # The tie-break on the id is not pushed to the scan; the first, wider filter is.
-    return rows.filter(t.isNull() | (t >= F.lit(cursor.ts))).filter(is_new(cursor, ts, id_column))
+    return rows.filter(t.isNull() | (t >= start)).filter(
+        t.isNull() | (t > start) | ((t == start) & (i > cursor.id))
+    )
