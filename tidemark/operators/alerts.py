@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import failed_rules_text, failed_run_text, stale_beat_text
 from tidemark.operators.ledger import TABLE
@@ -115,7 +116,7 @@ def dedupe_alerts(
     )
     last = slices.agg(F.max("_slice")).first()[0] or 0
 
-    schema = alerts.schema.add("sent", "boolean")
+    schema = T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())])
     step = _slice_step(alerts.columns, key, at, alert_id, make_replay(quiet_s, rate_s, max_per_rate))
     if last == 0:
         rows = alerts.withColumn("_sent_before", F.lit(False))

@@ -96,6 +96,7 @@ def run_sync(
     landing: str,
     as_of: datetime | None = None,
     limits: Thresholds = Thresholds(),
+    one_per_file: bool = True,
 ) -> SyncResult:
     """Read landed pages, merge them, save the checkpoint, record the run and check it.
 
@@ -111,7 +112,7 @@ def run_sync(
     )
     clock = datetime.now(timezone.utc)
     try:
-        _load(warehouse, spec, table, landing, started, limits, result)
+        _load(warehouse, spec, table, read_pages(warehouse.spark, landing, one_per_file), started, limits, result)
         result.status = "success"
     except Exception as error:
         result.status, result.error = "failed", str(error)[:2000]
@@ -126,7 +127,7 @@ def _load(
     warehouse: Warehouse,
     spec: SyncSpec,
     table: Resource,
-    landing: str,
+    pages: DataFrame,
     started: datetime,
     limits: Thresholds,
     result: SyncResult,
@@ -142,7 +143,7 @@ def _load(
             return
 
     as_of = F.lit(started)
-    records = explode_pages(read_pages(spark, landing), table)
+    records = explode_pages(pages, table)
     projected = project_records(records, table, spec.sync_id, as_of)
     wanted = projected if full else read_incremental(projected, cursor, late_rows=spec.late_rows)
     # JSON is read once; counting and merging work on the typed copy.

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import Resource
 from tidemark.operators.merge import (
@@ -122,7 +123,7 @@ class StateTable:
         ]
         listed = self.spark.createDataFrame(kept, _LIST_SCHEMA)
         if touched:
-            schema = self.resource.state_schema.add("_bucket", "int")
+            schema = self.resource.state_schema.add("_bucket", T.IntegerType())
             written = self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
             counted = written.groupBy(F.col("_bucket").alias("bucket")).agg(
                 F.count("*").alias("row_count"), F.count_if(is_active(written)).alias("active_count")

@@ -15,9 +15,11 @@ def read_pages(spark: SparkSession, path: str, one_per_file: bool = True) -> Dat
     return reader.text(path).withColumn("_page", F.col("_metadata.file_path"))
 
 
-def stream_pages(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+def stream_pages(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, one_per_file: bool = True
+) -> DataFrame:
     """The same pages as a stream over the landing folder."""
-    reader = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.option("wholetext", one_per_file).option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path).withColumn("_page", F.col("_metadata.file_path"))
 
 

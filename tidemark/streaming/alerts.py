@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.alerts import MAX_PER_RATE, QUIET_SECONDS, RATE_SECONDS, make_replay
@@ -38,7 +39,7 @@ def dedupe_alert_stream(
 
     return alerts.groupBy(pipeline).applyInPandasWithState(
         step,
-        alerts.schema.add("sent", "boolean"),
+        T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())]),
         "times array<bigint>, keys array<string>",
         "append",
         GroupStateTimeout.NoTimeout,

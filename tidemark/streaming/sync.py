@@ -21,6 +21,7 @@ def start_sync_stream(
     landing: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    one_per_file: bool = True,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Merge new page files as they land. Every batch is one version of the state table.
@@ -46,7 +47,7 @@ def start_sync_stream(
             stored.publish(merge_checkpoints(stored.read(), top, sync_id, as_of))
 
     writer = (
-        stream_pages(warehouse.spark, landing, files_per_batch)
+        stream_pages(warehouse.spark, landing, files_per_batch, one_per_file)
         .writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
         .queryName(f"sync-{pipeline}-{name}")
