@@ -7,25 +7,30 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_NAIVE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?$"
-_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})([.,]\d+)?(Z|[+-]\d{2}(:?\d{2})?)?$"
+_DAY, _TIME, _ZONE = r"\d{4}-\d{2}-\d{2}", r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?", r"(Z|[+-]\d{2}(:?\d{2})?)"
+_ZONED = rf"^{_DAY}[T ]{_TIME}{_ZONE}$"
+_NAIVE = rf"^{_DAY}[T ]{_TIME}$"
+_DATE = rf"^{_DAY}$"
+_COMPACT = rf"^(\d{{4}})(\d{{2}})(\d{{2}})T(\d{{2}})(\d{{2}})(\d{{2}}([.,]\d+)?){_ZONE}?$"
 
 
 def parse_iso(text: Column | str) -> Column:
     """Read ISO-8601 text as a timestamp; text without an offset is UTC, other text is NULL.
 
     The shape is checked first because Spark's own cast also takes bare years and times of day.
-    Week dates (``2026-W14-1``) are not read.
+    Week dates (``2026-W14-1``) are not read. The usual forms are tried first, each with one match.
     """
     c = F.col(text) if isinstance(text, str) else text
-    dashed = F.regexp_replace(c, _COMPACT, "$1-$2-$3T$4:$5:$6$7$8")
-    c = F.translate(F.when(c.rlike(_COMPACT), dashed).otherwise(c), ",", ".")
+    dotted = F.translate(c, ",", ".")
+    dashed = F.regexp_replace(dotted, _COMPACT, "$1-$2-$3T$4:$5:$6$8")
     return (
-        F.when(c.rlike(_ZONED), c.try_cast("timestamp"))
-        .when(c.rlike(_NAIVE), F.concat(c, F.lit("Z")).try_cast("timestamp"))
+        F.when(c.rlike(_ZONED), dotted.try_cast("timestamp"))
+        .when(c.rlike(_NAIVE), F.concat(dotted, F.lit("Z")).try_cast("timestamp"))
         .when(c.rlike(_DATE), F.concat(c, F.lit("T00:00:00Z")).try_cast("timestamp"))
+        .when(
+            c.rlike(_COMPACT),
+            F.when(c.rlike(f"{_ZONE}$"), dashed).otherwise(F.concat(dashed, F.lit("Z"))).try_cast("timestamp"),
+        )
     )
 
 

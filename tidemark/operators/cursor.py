@@ -12,12 +12,17 @@ from tidemark.operators.buckets import running_max_before
 from tidemark.sources.incremental import Cursor
 
 
+def top_position(ts: str = "updated_at", id_column: str = "id") -> Column:
+    """Aggregate: the greatest ``(ts, id)`` of rows that have a timestamp."""
+    position = F.struct(F.col(ts).alias("ts"), F.coalesce(F.col(id_column), F.lit(0)).alias("id"))
+    return F.max(F.when(F.col(ts).isNotNull(), position))
+
+
 def watermark(
     rows: DataFrame, by: Sequence[str] = (), ts: str = "updated_at", id_column: str = "id"
 ) -> DataFrame:
     """The greatest ``(updated_at, id)`` per group; no row for a group without a timestamp."""
-    position = F.struct(F.col(ts).alias("ts"), F.coalesce(F.col(id_column), F.lit(0)).alias("id"))
-    top = rows.filter(F.col(ts).isNotNull()).groupBy(*by).agg(F.max(position).alias("_top"))
+    top = rows.filter(F.col(ts).isNotNull()).groupBy(*by).agg(top_position(ts, id_column).alias("_top"))
     return top.filter(F.col("_top").isNotNull()).select(
         *by, F.col("_top.ts").alias("last_updated_at"), F.col("_top.id").alias("last_id")
     )

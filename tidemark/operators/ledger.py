@@ -60,14 +60,26 @@ def successes(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("status") == "success")
 
 
-def with_history(runs: DataFrame, depth: int = LOOKBACK_RUNS, streak: int = 3) -> DataFrame:
+def recent_runs(runs: DataFrame, pipeline: str, resource: str, depth: int = LOOKBACK_RUNS) -> DataFrame:
+    """The newest successful run of one table and the ``depth`` before it."""
+    mine = successes(runs).filter((F.col("pipeline") == pipeline) & (F.col("resource") == resource))
+    return mine.orderBy(*(F.col(c).desc() for c in RUN_ORDER)).limit(depth + 1)
+
+
+def with_history(
+    runs: DataFrame, depth: int = LOOKBACK_RUNS, streak: int = 3, few_runs: bool = False
+) -> DataFrame:
     """Add to each successful run what its table's earlier successful runs looked like.
 
     ``prev_count``: how many of the last ``depth`` there are; ``prev_zeros``: how many of the last
     ``streak - 1`` fetched nothing; ``prev_full_fetched``: rows of the newest full refresh among
     the last ``depth``, NULL if there is none; ``prev_rows``: active rows after the last one.
+    With ``few_runs`` each table has only a handful of runs and needs no cutting into days.
     """
-    seen = with_lookback(successes(runs), TABLE, day_of(), RUN_ORDER, depth)
+    if few_runs:
+        seen = successes(runs).withColumns({"_bucket": F.lit(0), "_is_copy": F.lit(False)})
+    else:
+        seen = with_lookback(successes(runs), TABLE, day_of(), RUN_ORDER, depth)
     w = Window.partitionBy(*TABLE, "_bucket").orderBy(*RUN_ORDER)
     last, recent = w.rowsBetween(-depth, -1), w.rowsBetween(-(streak - 1), -1)
     fetched = F.coalesce("fetched_count", F.lit(0))

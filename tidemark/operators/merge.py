@@ -41,13 +41,18 @@ def upsert(
     return untouched.unionByName(incoming, allowMissingColumns=True).select(*target.columns)
 
 
-def merge_counts(rows: DataFrame) -> DataFrame:
-    """Fetched, accepted and skipped rows of one load, from rows that carry ``_reject``."""
-    return rows.agg(
+def load_counts() -> list[Column]:
+    """Aggregates over rows that carry ``_reject``: fetched, accepted and skipped rows of a load."""
+    good = F.col("_reject").isNull()
+    return [
         F.count("*").alias("fetched"),
-        F.count_if(F.col("_reject").isNull()).alias("accepted"),
-        F.count_if(F.col("_reject").isNotNull()).alias("skipped"),
-    )
+        F.count_if(good).alias("accepted"),
+        F.count_if(~good).alias("skipped"),
+    ]
+
+
+def merge_counts(rows: DataFrame) -> DataFrame:
+    return rows.agg(*load_counts())
 
 
 def is_active(table: DataFrame) -> Column:
@@ -90,9 +95,9 @@ def sweep(
     return table.withColumn("_deleted_at", F.when(stale, as_of).otherwise(F.col("_deleted_at")))
 
 
-def guard_passes(active: Column, fetched: Column, max_percent: float) -> Column:
-    """False when the sweep would remove more than ``max_percent`` of the active rows."""
-    return (active <= 0) | ((active - fetched) / F.greatest(active, F.lit(1)) * 100 <= max_percent)
+def percent_lost(active, fetched):
+    """Share of the active rows that a sweep would remove; for columns and for plain numbers."""
+    return (active - fetched) / active * 100
 
 
 def guarded_sweep(
@@ -109,8 +114,9 @@ def guarded_sweep(
     """
     if not {"_deleted_at", "_sync_id"} <= set(table.columns):
         return table
-    active = count_active(table).scalar()
-    return sweep(table, sync_id, as_of, sweep_unmarked, guard_passes(active, fetched, max_percent))
+    active = F.nullif(count_active(table).scalar(), F.lit(0))
+    too_many = F.coalesce(percent_lost(active, fetched) > max_percent, F.lit(False))
+    return sweep(table, sync_id, as_of, sweep_unmarked, ~too_many)
 
 
 def keys_missing(table: DataFrame, snapshot: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -101,10 +101,13 @@ RULES = (fetch_upsert_parity, volume_sanity, weekly_full_drift, soft_delete_sani
 
 
 def evaluate_rules(
-    ledger: DataFrame, limits: Thresholds = Thresholds(), rules: Sequence = RULES
+    ledger: DataFrame,
+    limits: Thresholds = Thresholds(),
+    rules: Sequence = RULES,
+    few_runs: bool = False,
 ) -> DataFrame:
     """One row per successful run and rule."""
-    runs = with_history(ledger, LOOKBACK_RUNS, limits.zero_streak)
+    runs = with_history(ledger, LOOKBACK_RUNS, limits.zero_streak, few_runs)
     return runs.select(
         "sync_id", *TABLE, "mode", "started_at", "finished_at",
         F.inline(F.array(*(rule(limits) for rule in rules))),

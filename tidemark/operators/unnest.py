@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.json import parse_once
 from tidemark.model import ID_BATCH_SIZE
 from tidemark.operators.buckets import dense_index
 from tidemark.operators.merge import active_rows
@@ -90,7 +91,7 @@ def flatten(records: DataFrame, paths: Mapping[str, tuple[str, str]], raw: str =
         else f"`{top}` struct<{', '.join(f'`{x}`: string' for x in leaves)}>"
         for top, leaves in tree.items()
     )
-    parsed = records.withColumn("_p", F.from_json(F.col(raw), schema))
+    parsed = parse_once(records, F.from_json(F.col(raw), schema), "_p")
     columns = {c: F.col(f"_p.{path}").try_cast(kind) for c, (path, kind) in paths.items()}
     return parsed.withColumns(columns).drop("_p")
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.model import (
     CHECKPOINT_SCHEMA, LEDGER_SCHEMA, MODES, RESULT_SCHEMA, Resource, Thresholds, resource,
 )
-from tidemark.operators.cursor import load_checkpoint, merge_checkpoints, watermark
-from tidemark.operators.ledger import fold_entries
-from tidemark.operators.merge import merge_counts
+from tidemark.operators.cursor import load_checkpoint, merge_checkpoints, top_position
+from tidemark.operators.ledger import fold_entries, recent_runs
+from tidemark.operators.merge import load_counts
 from tidemark.operators.rules import evaluate_rules
 from tidemark.operators.unnest import variant_ids
 from tidemark.sinks.state import StateTable
@@ -69,9 +71,13 @@ class Warehouse:
     def staging(self, sync_id: str) -> str:
         return f"{self.root}/landed/{sync_id}"
 
-    def ledger(self) -> DataFrame:
-        """One row per run, folded from its start and finish entries."""
+    def ledger(self, pipeline: str | None = None, name: str | None = None) -> DataFrame:
+        """One row per run, of all tables or of one, folded from its start and finish entries."""
         entries = self._appended(self.ledger_path, f"{LEDGER_SCHEMA}, entry_at timestamp")
+        if pipeline is not None:
+            entries = entries.filter(F.col("pipeline") == pipeline)
+        if name is not None:
+            entries = entries.filter(F.col("resource") == name)
         return fold_entries(entries, "entry_at")
 
     def results(self) -> DataFrame:
@@ -117,7 +123,7 @@ def run_sync(
     except Exception as error:
         result.status, result.error = "failed", str(error)[:2000]
     result.duration_seconds = round((datetime.now(timezone.utc) - clock).total_seconds(), 2)
-    _finish(warehouse, result, started)
+    _finish(warehouse, spec, result)
     if result.status == "success":
         _check(warehouse, spec, limits, started)
     return result
@@ -151,9 +157,16 @@ def _load(
     wanted.write.mode("overwrite").parquet(landed)
     rows = spark.read.parquet(landed)
 
-    counts = merge_counts(rows).first()
+    measures = load_counts()
+    if table.incremental:
+        # Rejected rows do not move the cursor.
+        good_top = F.when(F.col("_reject").isNull(), F.col("updated_at"))
+        rows = rows.withColumn("_cursor_ts", good_top)
+        top = top_position("_cursor_ts")
+        measures += [F.unix_micros(top["ts"]).alias("top_micros"), top["id"].alias("top_id")]
+    counts = rows.agg(*measures).first()
     result.fetched_count, result.skipped_invalid = counts.fetched, counts.skipped
-    good = accepted(rows)
+    good = accepted(spark.read.parquet(landed))
     merged = warehouse.state(spec.pipeline, spec.resource).merge(
         good,
         spec.sync_id,
@@ -167,20 +180,18 @@ def _load(
     result.rows_before, result.rows_after = merged.rows_before, merged.rows_after
     result.sweep_aborted = merged.sweep_aborted
 
-    if table.incremental:
-        top = watermark(good).select(
-            F.lit(spec.pipeline).alias("pipeline"), F.lit(spec.resource).alias("resource"),
-            "last_updated_at", "last_id",
-        )
-        if not top.isEmpty():
-            warehouse.checkpoints.publish(merge_checkpoints(checkpoints, top, spec.sync_id, as_of))
+    if table.incremental and counts.top_micros is not None:
+        schema = "pipeline string, resource string, micros bigint, last_id bigint"
+        top = spark.createDataFrame(
+            [(spec.pipeline, spec.resource, counts.top_micros, counts.top_id)], schema
+        ).withColumn("last_updated_at", F.timestamp_micros("micros"))
+        warehouse.checkpoints.publish(merge_checkpoints(checkpoints, top, spec.sync_id, as_of))
 
 
-def _finish(warehouse: Warehouse, result: SyncResult, started: datetime) -> None:
-    from decimal import Decimal
-
+def _finish(warehouse: Warehouse, spec: SyncSpec, result: SyncResult) -> None:
     warehouse.add_entry(
-        sync_id=result.sync_id, finished_at=datetime.now(timezone.utc), status=result.status,
+        sync_id=result.sync_id, pipeline=spec.pipeline, resource=spec.resource,
+        finished_at=datetime.now(timezone.utc), status=result.status,
         fetched_count=result.fetched_count, upserted_count=result.upserted_count,
         skipped_invalid=result.skipped_invalid, soft_deleted_count=result.soft_deleted_count,
         rows_before=result.rows_before, rows_after=result.rows_after,
@@ -190,12 +201,9 @@ def _finish(warehouse: Warehouse, result: SyncResult, started: datetime) -> None
 
 def _check(warehouse: Warehouse, spec: SyncSpec, limits: Thresholds, started: datetime) -> None:
     """Rule results of this run; a failure here does not fail the run."""
-    import logging
-
     try:
-        mine = (F.col("pipeline") == spec.pipeline) & (F.col("resource") == spec.resource)
-        results = evaluate_rules(warehouse.ledger().filter(mine), limits)
-        results = results.filter(F.col("sync_id") == spec.sync_id)
+        runs = recent_runs(warehouse.ledger(spec.pipeline, spec.resource), spec.pipeline, spec.resource)
+        results = evaluate_rules(runs, limits, few_runs=True).filter(F.col("sync_id") == spec.sync_id)
         append_rows(
             results.select(
                 "sync_id", "pipeline", "resource", "rule", "status", "details",

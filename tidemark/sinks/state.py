@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import Resource
 from tidemark.operators.merge import (
-    active_rows, guard_passes, is_active, is_stale, latest_per_key, sweep, upsert,
+    active_rows, is_active, is_stale, latest_per_key, percent_lost, sweep, upsert,
 )
 from tidemark.sinks.versions import VersionedTable
 
@@ -98,9 +98,9 @@ class StateTable:
                 F.count_if(is_active(left)).alias("active"),
                 F.count_if(is_stale(sync_id, sweep_unmarked)).alias("stale"),
             ).first()
-            active = F.lit(counts.active + upserted)
-            verdict = guard_passes(active, F.lit(upserted if fetched is None else fetched), max_delete_percent)
-            allowed = self.spark.range(1).select(verdict).first()[0]
+            active = counts.active + upserted
+            lost = percent_lost(active, upserted if fetched is None else fetched) if active else 0.0
+            allowed = lost <= max_delete_percent
             aborted = not allowed
 
         merged = upsert(old, staged, key)

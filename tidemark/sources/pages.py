@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.json import parse_once
 from tidemark.functions.timestamps import parse_iso
 from tidemark.model import Resource
 
@@ -46,7 +47,7 @@ def project_records(
     schema = ", ".join(f"`{n}` string" for n in names) + ", `_broken` string"
     parsed = F.from_json(F.col("_raw"), schema, {"columnNameOfCorruptRecord": "_broken"})
     rest = [c for c in records.columns if c != "_raw"]
-    lifted = records.select(*rest, "_raw", parsed.alias("_p")).select(
+    lifted = parse_once(records, parsed, "_p").select(
         *rest,
         *(F.col(f"_p.{k}").try_cast("bigint").alias(k) for k in resource.key),
         parse_iso(F.col("_p.updated_at")).alias("updated_at"),

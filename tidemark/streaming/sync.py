@@ -37,7 +37,8 @@ def start_sync_stream(
         rows = project_records(explode_pages(pages, table), table, sync_id, as_of)
         landed = warehouse.staging(sync_id)
         rows.write.mode("overwrite").parquet(landed)
-        good = accepted(pages.sparkSession.read.parquet(landed))
+        # The stream's own session runs without adaptive execution, the warehouse's with it.
+        good = accepted(warehouse.spark.read.parquet(landed))
         state.merge(good, sync_id, as_of, order=("updated_at", "_page", "_pos"))
         top = watermark(good).select(
             F.lit(pipeline).alias("pipeline"), F.lit(name).alias("resource"), "last_updated_at", "last_id"
