@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def parse_once(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
     """Add a parsed value that is computed once per row.
 
-    Were it a plain column, a later filter on one of its fields would be pushed below it and bring
-    a second copy of the whole parse along; filters are not pushed through a generator.
+    Were it a plain column, a later filter on one of its fields, or the one that Spark adds below
+    an explode of one, would bring a second copy of the whole parse along; filters are not pushed
+    through a generator.
     """
     return rows.select("*", F.explode(F.array(parsed)).alias(name))

@@ -12,8 +12,8 @@ def payload_size(fields: Column) -> Column:
     """Characters of a string map printed as ASCII JSON with a space after each ``:`` and ``,``."""
     text = F.to_json(fields)
     entries = F.cardinality(fields)
-    beyond_ascii = F.length(F.regexp_replace(text, r"[\x00-\x7e]", ""))
-    beyond_16_bit = F.length(F.regexp_replace(text, r"[\x{0}-\x{ffff}]", ""))
+    beyond_ascii = F.length(F.regexp_replace(text, r"[\x00-\x7e]+", ""))
+    beyond_16_bit = F.length(F.regexp_replace(text, r"[\x{0}-\x{ffff}]+", ""))
     # A character outside ASCII is printed as \uXXXX, one outside 16 bits as two of those.
     escapes = beyond_ascii * 5 + beyond_16_bit * 6
     return F.length(text) + F.greatest(entries * 2 - 1, F.lit(0)) + escapes

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.json import parse_once
 from tidemark.functions.redact import redact_map, redact_map_exact, redact_text
 from tidemark.functions.text import cap_payload
 from tidemark.functions.timestamps import parse_iso
@@ -27,7 +28,8 @@ def project_logs(events: DataFrame, fields: str = "fields", limit: int = MAX_PAY
 
     rest = F.map_filter(f, lambda k, _: ~k.isin(*NOT_IN_PAYLOAD) & ~k.startswith("_"))
     event = F.coalesce(field("event"), F.lit(""))
-    return events.select(
+    # The redacted map is used several times below, and is costly.
+    return parse_once(events, redact_map(redact_map_exact(rest)), "_payload").select(
         parse_iso(field("timestamp")).alias("timestamp"),
         F.upper(F.coalesce(field("level"), F.lit("INFO"))).alias("level"),
         event.alias("event"),
@@ -35,7 +37,7 @@ def project_logs(events: DataFrame, fields: str = "fields", limit: int = MAX_PAY
         field("pipeline").alias("pipeline"),
         field("resource").alias("resource"),
         event.alias("message"),
-        cap_payload(redact_map(redact_map_exact(rest)), limit).alias("payload"),
+        cap_payload(F.col("_payload"), limit).alias("payload"),
         redact_text(field("exc_info")).alias("exc_info"),
     )
 

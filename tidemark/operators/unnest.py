@@ -34,7 +34,7 @@ def unnest(
     """
     inner = ", ".join(f"`{f}`: string" for f in fields)
     parsed = F.from_json(F.col(raw), f"`{array}` array<struct<{inner}>>")
-    rows = records.select(*keep, F.explode(parsed[array]).alias("_e"))
+    rows = parse_once(records, parsed, "_p").select(*keep, F.explode(F.col("_p")[array]).alias("_e"))
     return rows.select(*keep, *(F.col(f"_e.{f}").try_cast(t).alias(f) for f, t in fields.items()))
 
 

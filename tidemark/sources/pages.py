@@ -32,7 +32,8 @@ def explode_pages(pages: DataFrame, resource: Resource, body: str = "value") ->
     field = resource.page_field
     envelope = F.from_json(F.col(body), f"`{field}` array<string>")
     rest = [c for c in pages.columns if c != body]
-    return pages.select(*rest, F.posexplode(envelope[field]).alias("_pos", "_raw"))
+    parsed = parse_once(pages, envelope, "_envelope")
+    return parsed.select(*rest, F.posexplode(F.col("_envelope")[field]).alias("_pos", "_raw"))
 
 
 def project_records(
