@@ -1,8 +1,8 @@
 """Ordered computations over groups of any size.
 
 A window partitioned by the group alone would put a whole hot group into one task. Here every group
-is cut into buckets (a day, or a run of row numbers), each bucket is a window partition of its own,
-and only one summary row per bucket is ordered over the whole group.
+is cut into buckets (a stretch of time, or a run of row numbers), each bucket is a window partition of
+its own, and only one summary row per bucket is ordered over the whole group.
 """
 
 from __future__ import annotations
@@ -44,20 +44,42 @@ def running_max_before(
     )
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def with_time_bucket(
+    rows: DataFrame, keys: Sequence[str], ts: str, rows_per_bucket: int = 500_000
+) -> DataFrame:
+    """Add ``_bucket``, the start of a stretch of time that holds about ``rows_per_bucket`` rows.
+
+    A stretch is a whole UTC day of a group, or an even part of it when the day has more rows.
+    """
+    day = F.floor(F.col("_micros") / DAY_MICROS)
+    timed = rows.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_day", day)
+    parts = timed.groupBy(*keys, "_day").agg(F.ceil(F.count("*") / rows_per_bucket).alias("_parts"))
+    parts = parts.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_day").alias("_d"), "_parts")
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_day") == F.col("_d")]
+    part = F.floor((F.col("_micros") - F.col("_day") * DAY_MICROS) * F.col("_parts") / DAY_MICROS)
+    start = F.col("_day") * DAY_MICROS + part * F.floor(F.lit(DAY_MICROS) / F.col("_parts"))
+    return (
+        timed.join(parts, same)
+        .withColumn("_bucket", start)
+        .drop("_micros", "_day", "_d", "_parts", *(f"_k_{k}" for k in keys))
+    )
+
+
 def with_lookback(
-    rows: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], depth: int
+    tagged: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``_bucket`` and copies, marked ``_is_copy``, of the ``depth`` rows before each bucket.
+    """Add to rows with a ``_bucket`` copies, marked ``_is_copy``, of the ``depth`` rows before it.
 
     A frame of up to ``depth`` preceding rows over ``(keys, _bucket)`` then sees what it would see
-    over the whole group. Drop the copies afterwards.
+    over the whole group, in the columns ``order`` and ``carry``. Drop the copies afterwards.
     """
-    columns = rows.columns
-    tagged = rows.withColumn("_bucket", bucket)
     newest_first = Window.partitionBy(*keys, "_bucket").orderBy(*(F.col(c).desc() for c in order))
-    payload = [c for c in columns if c not in keys]
+    payload = list(dict.fromkeys([*order, *carry]))
     tails = (
-        tagged.withColumn("_rank", F.row_number().over(newest_first))
+        tagged.select(*keys, "_bucket", *payload).withColumn("_rank", F.row_number().over(newest_first))
         .filter(F.col("_rank") <= depth)
         .groupBy(*keys, "_bucket")
         .agg(F.sort_array(F.collect_list(F.struct(*order, F.struct(*payload).alias("_row")))).alias("_tail"))
@@ -71,7 +93,7 @@ def with_lookback(
         .select(*keys, *(F.col(f"_h._row.{c}").alias(c) for c in payload), "_bucket")
         .withColumn("_is_copy", F.lit(True))
     )
-    return tagged.withColumn("_is_copy", F.lit(False)).unionByName(copies)
+    return tagged.withColumn("_is_copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
 
 
 def dense_index(ids: DataFrame, column: str, out: str) -> DataFrame:

@@ -78,7 +78,7 @@ def replay_cursor(
     cursor: Cursor | None = None,
     ts: str = "updated_at",
     id_column: str = "id",
-    bucket_rows: int = 1_000_000,
+    bucket_rows: int = 200_000,
 ) -> DataFrame:
     """Keep a row only if it lies behind the cursor and behind every row that arrived before it.
 

@@ -8,16 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.model import DURATION_BUCKETS, LOCAL_TIME_ZONE, LOOKBACK_RUNS
-from tidemark.operators.buckets import with_lookback
+from tidemark.operators.buckets import with_lookback, with_time_bucket
 
 TABLE = ("pipeline", "resource")
 RUN_ORDER = ("started_at", "sync_id")
 
 
-def day_of(ts: str = "started_at") -> Column:
-    return F.to_date(ts)
-
-
 def record_starts(ledger: DataFrame, starts: DataFrame) -> DataFrame:
     """Add started runs; a run that is already recorded stays as it is."""
     fresh = starts.join(ledger.select("sync_id"), "sync_id", "left_anti")
@@ -67,19 +63,25 @@ def recent_runs(runs: DataFrame, pipeline: str, resource: str, depth: int = LOOK
 
 
 def with_history(
-    runs: DataFrame, depth: int = LOOKBACK_RUNS, streak: int = 3, few_runs: bool = False
+    runs: DataFrame,
+    depth: int = LOOKBACK_RUNS,
+    streak: int = 3,
+    few_runs: bool = False,
+    rows_per_bucket: int = 500_000,
 ) -> DataFrame:
     """Add to each successful run what its table's earlier successful runs looked like.
 
     ``prev_count``: how many of the last ``depth`` there are; ``prev_zeros``: how many of the last
     ``streak - 1`` fetched nothing; ``prev_full_fetched``: rows of the newest full refresh among
     the last ``depth``, NULL if there is none; ``prev_rows``: active rows after the last one.
-    With ``few_runs`` each table has only a handful of runs and needs no cutting into days.
+    With ``few_runs`` each table has only a handful of runs and needs no cutting into stretches of time.
     """
     if few_runs:
         seen = successes(runs).withColumns({"_bucket": F.lit(0), "_is_copy": F.lit(False)})
     else:
-        seen = with_lookback(successes(runs), TABLE, day_of(), RUN_ORDER, depth)
+        carry = ("mode", "fetched_count", "rows_after")
+        bucketed = with_time_bucket(successes(runs), TABLE, "started_at", rows_per_bucket)
+        seen = with_lookback(bucketed, TABLE, RUN_ORDER, depth, carry)
     w = Window.partitionBy(*TABLE, "_bucket").orderBy(*RUN_ORDER)
     last, recent = w.rowsBetween(-depth, -1), w.rowsBetween(-(streak - 1), -1)
     fetched = F.coalesce("fetched_count", F.lit(0))
@@ -94,9 +96,12 @@ def with_history(
     )
 
 
-def previous_runs(runs: DataFrame, depth: int = LOOKBACK_RUNS) -> DataFrame:
+def previous_runs(
+    runs: DataFrame, depth: int = LOOKBACK_RUNS, rows_per_bucket: int = 500_000
+) -> DataFrame:
     """For every successful run the ids of up to ``depth`` earlier ones of its table, newest first."""
-    seen = with_lookback(successes(runs), TABLE, day_of(), RUN_ORDER, depth)
+    bucketed = with_time_bucket(successes(runs), TABLE, "started_at", rows_per_bucket)
+    seen = with_lookback(bucketed, TABLE, RUN_ORDER, depth)
     w = Window.partitionBy(*TABLE, "_bucket").orderBy(*RUN_ORDER).rowsBetween(-depth, -1)
     return (
         seen.withColumn("previous", F.reverse(F.collect_list("sync_id").over(w)))

@@ -66,7 +66,7 @@ def overlap_scan_query(spark, folder):
 )
 def keyset_dedup(spark, folder):
     arrived = _changes(spark, folder).withColumn("resource", F.lit("events"))
-    kept = replay_cursor(arrived, ["resource"], "event_id", id_column="user_id", bucket_rows=1000)
+    kept = replay_cursor(arrived, ["resource"], "event_id", id_column="user_id")
     return kept.select("event_id", "user_id", "updated_at")
 
 
