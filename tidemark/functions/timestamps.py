@@ -7,11 +7,16 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DAY, _TIME, _ZONE = r"\d{4}-\d{2}-\d{2}", r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?", r"(Z|[+-]\d{2}(:?\d{2})?)"
-_ZONED = rf"^{_DAY}[T ]{_TIME}{_ZONE}$"
-_NAIVE = rf"^{_DAY}[T ]{_TIME}$"
+_DAY, _SECONDS, _ZONE = r"\d{4}-\d{2}-\d{2}", r"\d{2}([.,]\d+)?", r"(Z|[+-]\d{2}(:?\d{2})?)"
+_ZONED = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}:{_SECONDS}{_ZONE}$"
+_NAIVE = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}:{_SECONDS}$"
 _DATE = rf"^{_DAY}$"
-_COMPACT = rf"^(\d{{4}})(\d{{2}})(\d{{2}})T(\d{{2}})(\d{{2}})(\d{{2}}([.,]\d+)?){_ZONE}?$"
+# Rarer forms and how they look in the usual one.
+_RARE = (
+    (rf"^({_DAY})[T ](\d{{2}}:\d{{2}}){_ZONE}?$", "$1T$2:00$3"),
+    (rf"^({_DAY})[T ](\d{{2}}){_ZONE}?$", "$1T$2:00:00$3"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})T(\d{{2}})(\d{{2}})({_SECONDS}){_ZONE}?$", "$1-$2-$3T$4:$5:$6$8"),
+)
 
 
 def parse_iso(text: Column | str) -> Column:
@@ -21,17 +26,21 @@ def parse_iso(text: Column | str) -> Column:
     Week dates (``2026-W14-1``) are not read. The usual forms are tried first, each with one match.
     """
     c = F.col(text) if isinstance(text, str) else text
+
+    def utc(value: Column) -> Column:
+        return F.concat(value, F.lit("Z"))
+
     dotted = F.translate(c, ",", ".")
-    dashed = F.regexp_replace(dotted, _COMPACT, "$1-$2-$3T$4:$5:$6$8")
-    return (
+    parsed = (
         F.when(c.rlike(_ZONED), dotted.try_cast("timestamp"))
-        .when(c.rlike(_NAIVE), F.concat(dotted, F.lit("Z")).try_cast("timestamp"))
+        .when(c.rlike(_NAIVE), utc(dotted).try_cast("timestamp"))
         .when(c.rlike(_DATE), F.concat(c, F.lit("T00:00:00Z")).try_cast("timestamp"))
-        .when(
-            c.rlike(_COMPACT),
-            F.when(c.rlike(f"{_ZONE}$"), dashed).otherwise(F.concat(dashed, F.lit("Z"))).try_cast("timestamp"),
-        )
     )
+    for pattern, usual in _RARE:
+        full = F.regexp_replace(dotted, pattern, usual)
+        zoned = F.when(full.rlike(f"{_ZONE}$"), full).otherwise(utc(full))
+        parsed = parsed.when(c.rlike(pattern), zoned.try_cast("timestamp"))
+    return parsed
 
 
 def parse_since(text: str) -> timedelta | None:
