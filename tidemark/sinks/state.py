@@ -17,7 +17,7 @@ from tidemark.model import Resource
 from tidemark.operators.merge import (
     active_rows, is_active, is_stale, latest_per_key, percent_lost, sweep, upsert,
 )
-from tidemark.sinks.versions import VersionedTable
+from tidemark.sinks.versions import VersionedTable, finished_versions
 
 _LIST_SCHEMA = "bucket int, folder string, row_count bigint, active_count bigint, buckets int, sync_id string"
 
@@ -139,6 +139,32 @@ class StateTable:
             )
         self.versions.publish(listed)
 
+    def expire(self, keep: int = 5) -> int:
+        """Delete folders that none of the newest ``keep`` versions name; returns how many.
+
+        Readers of older versions fail from then on, and a merge must not be running.
+        """
+        versions = finished_versions(self.spark, self.versions.path)
+        kept = [f"versions/v={v}" for v in versions[-keep:]]
+        for v in versions[-keep:]:
+            kept += [f.folder for f in self._files(v)]
+        names = {k.split("/_bucket=")[0] for k in kept}
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = Path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        removed = 0
+        for top in ("versions", "staged", "data"):
+            folder = Path(f"{self.root}/{top}")
+            for version in fs.listStatus(folder) if fs.exists(folder) else []:
+                name = f"{top}/{version.getPath().getName()}"
+                if name not in names:
+                    removed += fs.delete(version.getPath(), True)
+                elif top == "data":
+                    for bucket in fs.listStatus(version.getPath()):
+                        inner = f"{name}/{bucket.getPath().getName()}"
+                        if bucket.isDirectory() and inner not in kept:
+                            removed += fs.delete(bucket.getPath(), True)
+        return removed
+
     def active(self) -> DataFrame:
         return active_rows(self.read())
 
