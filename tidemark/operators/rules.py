@@ -35,6 +35,10 @@ def _json(**fields: Column) -> Column:
 
 _NOTHING = "{}"
 
+# Texts in the stored details.
+SILENT_HINT = "Check access_token — may be expired"
+SWEEP_STOPPED = "sweep ABORTED — manual review required"
+
 
 def fetch_upsert_parity(limits: Thresholds = Thresholds()) -> Column:
     """Rows were fetched but not stored."""
@@ -54,9 +58,7 @@ def volume_sanity(limits: Thresholds = Thresholds()) -> Column:
     """An incremental run and the ones before it all fetched nothing. Needs ``prev_zeros``."""
     silent = (_fetched() <= 0) & (F.col("prev_zeros") >= limits.zero_streak - 1)
     incremental = F.col("mode") == "incremental"
-    details = _json(
-        zero_fetch_streak=F.lit(limits.zero_streak), hint=F.lit("Check access_token, it may be expired")
-    )
+    details = _json(zero_fetch_streak=F.lit(limits.zero_streak), hint=F.lit(SILENT_HINT))
     return _result(
         "volume_sanity",
         F.when(~incremental, "skipped").when(silent, "warning").otherwise("ok"),
@@ -89,10 +91,7 @@ def soft_delete_sanity(limits: Thresholds = Thresholds()) -> Column:
     status = F.when(~applies, "skipped").when(bad, "failed").otherwise("ok")
     details = F.when(
         bad,
-        _json(
-            delete_pct=F.round(deleted, 2),
-            action=F.lit("sweep ABORTED — manual review required"),
-        ),
+        _json(delete_pct=F.round(deleted, 2), action=F.lit(SWEEP_STOPPED)),
     ).otherwise(_json(delete_pct=F.round(deleted, 2)))
     return _result("soft_delete_sanity", status, deleted, F.when(applies, details).otherwise(_NOTHING))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidemark.model import REQUEST_STATUSES, Retention
@@ -14,6 +16,7 @@ from tidemark.plans.inputs import (
     at, beats, ledger, logs, requests, table,
 )
 from tidemark.plans.registry import query
+from tidemark.sinks.tables import expired_days
 
 NOW = f"TIMESTAMP '{AS_OF_TEXT}'"
 
@@ -528,6 +531,18 @@ def retention_apply(spark, folder):
     )
 
 
+@query(
+    "expired_log_days",
+    f"""WITH {LOGS} SELECT DISTINCT strftime("timestamp", '%Y-%m-%d') AS log_date FROM logs
+    WHERE CAST("timestamp" AS DATE) < DATE '2024-01-21'""",
+)
+def expired_log_days(spark, folder):
+    """Days of which the whole partition can go."""
+    dated = logs(spark, folder).withColumn("log_date", F.to_date("timestamp"))
+    days = expired_days(dated, date(2024, 1, 21))
+    return days.withColumn("log_date", F.col("log_date").cast("string"))
+
+
 @query(
     "gfs_keep",
     """WITH days AS (

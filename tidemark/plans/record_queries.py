@@ -178,6 +178,25 @@ def read_products(spark, folder):
     return rows.select("id", F.json_array_length(F.get_json_object("_raw", "$.variants")).cast("bigint").alias("variants"))
 
 
+@query(
+    "read_inventory",
+    """SELECT p_partkey AS inventory_item_id, CAST(p_size AS BIGINT) AS location_id, p_size * 3 AS available
+    FROM part WHERE p_size <> 7""",
+)
+def read_inventory(spark, folder):
+    """Levels have a key of two fields and may lack a time; those without a place are rejected."""
+    size = F.col("p_size")
+    record = F.struct(F.col("p_partkey").alias("inventory_item_id"),
+                      F.when(size != 7, size).alias("location_id"), (size * 3).alias("available"))
+    bodies = table(spark, folder, "part").select(
+        F.concat(F.lit('{"inventory_locations":['), F.to_json(record), F.lit("]}")).alias("value")
+    )
+    resource = RESOURCES["inventory_levels"]
+    rows = accepted(project_records(explode_pages(bodies, resource), resource, "r", at(SYNCED)))
+    levels = unnest.promote_field(rows, "available", "int")
+    return levels.select("inventory_item_id", "location_id", "available")
+
+
 @query("location_ids", "SELECT CAST(n_nationkey AS BIGINT) AS id FROM nation WHERE n_nationkey <> 0")
 def location_ids(spark, folder):
     record = F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))

@@ -38,6 +38,16 @@ def keyset_incremental(spark, folder):
     return read_incremental(_changes(spark, folder), CURSOR, id_column="event_id")
 
 
+@query(
+    "keyset_scan",
+    """SELECT event_id, ts, user_id, event_type FROM events
+    WHERE (ts, event_id) > (TIMESTAMP '2024-01-15 00:00:00', 5000)""",
+)
+def keyset_scan(spark, folder):
+    """The same on a stored column: the cursor's time is pushed down to the files."""
+    return read_incremental(table(spark, folder, "events").select(*_EVENT), CURSOR, "ts", "event_id")
+
+
 @query(
     "late_rows_reprocessed",
     f"""WITH {_CHANGES} SELECT * FROM changes

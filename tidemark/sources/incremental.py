@@ -56,7 +56,6 @@ def read_incremental(
     if late_rows == "reprocess":
         return rows.filter(t.isNull() | (t >= cursor.literal(rows, ts, minutes)))
     start, i = cursor.literal(rows, ts), F.coalesce(F.col(id_column), F.lit(0))
-    # The tie-break on the id is not pushed to the scan; the first, wider filter is.
-    return rows.filter(t.isNull() | (t >= start)).filter(
-        t.isNull() | (t > start) | ((t == start) & (i > cursor.id))
-    )
+    # Two filters that the optimizer cannot merge into one: the first is pushed to the scan, the
+    # second breaks ties on the id and is not.
+    return rows.filter(t.isNull() | (t >= start)).filter(~t.eqNullSafe(start) | (i > cursor.id))
