@@ -62,12 +62,17 @@ def random_alerts(n=600, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("slice_rows", [60, 250, 10**6])
+@pytest.mark.parametrize("slice_rows", [90, 250, 10**6])
 def test_slices_give_the_same_result(spark, slice_rows):
     rows = random_alerts()
     assert sent(A.dedupe_alerts(frame(spark, rows), slice_rows=slice_rows)) == brute_force(rows)
 
 
+def test_a_minute_can_be_cut(spark):
+    rows = [("p", f"k{n % 7}", n / 10) for n in range(200)] + [("p", "k1", 400 + n / 10) for n in range(50)]
+    assert sent(A.dedupe_alerts(frame(spark, rows), slice_rows=80)) == brute_force(rows)
+
+
 def test_stream_remembers_sends_between_batches(spark, tmp_path):
     import time
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import failed_rules_text, failed_run_text, stale_beat_text
+from tidemark.operators.buckets import MINUTE_MICROS, with_time_bucket
 from tidemark.operators.ledger import TABLE
 from tidemark.scratch import scratch_folder
 
@@ -98,20 +99,21 @@ def dedupe_alerts(
     quiet_s: int = QUIET_SECONDS,
     rate_s: int = RATE_SECONDS,
     max_per_rate: int = MAX_PER_RATE,
-    slice_rows: int = 2_000_000,
+    slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``sent`` to every alert. An alert with an empty key is always sent and not remembered.
 
     Whether an alert is sent depends on all sends before it, so a pipeline is replayed in time
-    order. It is cut into slices of whole minutes and about ``slice_rows`` rows: a task holds one
-    slice, all pipelines run side by side, and only the last few sends go on to the next slice.
+    order. It is cut into slices of about ``slice_rows`` rows, made of minutes or of parts of a minute
+    that has more: a task holds one slice, all pipelines run side by side, and only the last few
+    sends go on to the next slice.
     """
-    minute = F.date_trunc("minute", F.col(at))
-    counts = alerts.groupBy(pipeline, minute.alias("_minute")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(pipeline).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    bucketed = with_time_bucket(alerts, [pipeline], at, slice_rows, MINUTE_MICROS)
+    counts = bucketed.groupBy(pipeline, "_bucket").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(pipeline).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     slices = counts.select(
         F.col(pipeline).alias("_p"),
-        "_minute",
+        F.col("_bucket").alias("_b"),
         F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / slice_rows).alias("_slice"),
     )
     last = slices.agg(F.max("_slice")).first()[0] or 0
@@ -124,8 +126,8 @@ def dedupe_alerts(
 
     spark = alerts.sparkSession
     folder = scratch_folder(spark, "alerts")
-    same = F.col(pipeline).eqNullSafe(F.col("_p")) & (minute == F.col("_minute"))
-    sliced = alerts.join(slices, same, "left").drop("_p", "_minute")
+    same = F.col(pipeline).eqNullSafe(F.col("_p")) & (F.col("_bucket") == F.col("_b"))
+    sliced = bucketed.join(slices, same).drop("_p", "_b", "_bucket")
     sliced.write.partitionBy("_slice").parquet(f"{folder}/slices")
     newest = Window.partitionBy(pipeline).orderBy(F.col(at).desc(), F.col(alert_id).desc())
     for n in range(last + 1):

@@ -44,27 +44,33 @@ def running_max_before(
     )
 
 
-DAY_MICROS = 86_400_000_000
+MINUTE_MICROS = 60_000_000
+DAY_MICROS = 1440 * MINUTE_MICROS
 
 
 def with_time_bucket(
-    rows: DataFrame, keys: Sequence[str], ts: str, rows_per_bucket: int = 500_000
+    rows: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    rows_per_bucket: int = 500_000,
+    stretch_micros: int = DAY_MICROS,
 ) -> DataFrame:
     """Add ``_bucket``, the start of a stretch of time that holds about ``rows_per_bucket`` rows.
 
     A stretch is a whole UTC day of a group, or an even part of it when the day has more rows.
     """
-    day = F.floor(F.col("_micros") / DAY_MICROS)
-    timed = rows.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_day", day)
-    parts = timed.groupBy(*keys, "_day").agg(F.ceil(F.count("*") / rows_per_bucket).alias("_parts"))
-    parts = parts.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_day").alias("_d"), "_parts")
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_day") == F.col("_d")]
-    part = F.floor((F.col("_micros") - F.col("_day") * DAY_MICROS) * F.col("_parts") / DAY_MICROS)
-    start = F.col("_day") * DAY_MICROS + part * F.floor(F.lit(DAY_MICROS) / F.col("_parts"))
+    stretch = F.floor(F.col("_micros") / stretch_micros)
+    timed = rows.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp")))
+    timed = timed.withColumn("_stretch", stretch)
+    parts = timed.groupBy(*keys, "_stretch").agg(F.ceil(F.count("*") / rows_per_bucket).alias("_parts"))
+    parts = parts.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_stretch").alias("_s"), "_parts")
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_stretch") == F.col("_s")]
+    begin = F.col("_stretch") * stretch_micros
+    part = F.floor((F.col("_micros") - begin) * F.col("_parts") / stretch_micros)
     return (
         timed.join(parts, same)
-        .withColumn("_bucket", start)
-        .drop("_micros", "_day", "_d", "_parts", *(f"_k_{k}" for k in keys))
+        .withColumn("_bucket", begin + part * F.floor(F.lit(stretch_micros) / F.col("_parts")))
+        .drop("_micros", "_stretch", "_s", "_parts", *(f"_k_{k}" for k in keys))
     )
 
 
