@@ -184,6 +184,15 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert again.upserted == 0 and table.versions.version() == 2, "a repeated batch is merged once"
 
 
+def test_merge_stamps_its_rows(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "t"), RESOURCES["orders"], buckets=2)
+    merge(spark, table, "a", 1, 2)
+    carried = table.read()
+    result = table.merge(carried, "b", F.lit(START), full_snapshot=True)
+    assert (result.rows_after, result.soft_deleted) == (2, 0)
+    assert {r._sync_id for r in table.read().collect()} == {"b"}
+
+
 def test_unfinished_version_is_ignored(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "t"), RESOURCES["orders"], buckets=2)
     merge(spark, table, "a", 1, 2)

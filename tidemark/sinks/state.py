@@ -66,6 +66,7 @@ class StateTable:
     ) -> MergeResult:
         """Merge accepted rows; a full snapshot also sweeps the rows it lacks, if the guard agrees.
 
+        The rows are stamped with this run, whatever they carried before, so that the sweep spares them.
         A ``sync_id`` that the newest version already holds is not merged again.
         """
         key = list(self.resource.key)
@@ -80,6 +81,7 @@ class StateTable:
         # The reduced rows are written once: they are read several times below, and as files their
         # size is known, so that the planner broadcasts them only if they are small.
         staged_path = f"{self.root}/staged/{version + 1}"
+        rows = rows.withColumns({"_sync_id": F.lit(sync_id), "_synced_at": as_of.cast("timestamp")})
         latest_per_key(rows, key, order).withColumn("_bucket", bucket).write.mode("overwrite").parquet(
             staged_path
         )
