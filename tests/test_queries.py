@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, over whole tables."""
+"""Every registered query of the library against its SQL, over whole tables."""
 
 import os
 
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import compare, connect
+from tidemark.plans import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,10 +16,10 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
-    build, sql = entry.queries()[name], entry.oracle_sql().get(name)
-    assert sql is not None, "every query has an oracle"
+    build, sql = catalog.QUERIES[name], catalog.ORACLES.get(name)
+    assert sql is not None, "every query of the library has an oracle"
     compare(spark, name, build, sql, FOLDER, con)
 
 
@@ -28,3 +29,4 @@ def test_entry(spark):
 
 def test_no_oracle_without_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.queries())
