@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, quality, rules
+from tidemark.llm import bpe, mixing, quality, rules, simhash
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
