@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, quality, rules, simhash
+from tidemark.llm import bpe, mixing, passages, quality, rules, simhash
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
@@ -38,3 +38,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_source_mix", mixing.MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op10_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return passages.remove_repeats(docs, passages.digest, "n_words long, n_removed long, kept_sha256 string")
