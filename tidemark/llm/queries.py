@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, passages, quality, rules, simhash
+from tidemark.llm import bpe, language_model, mixing, passages, quality, rules, simhash
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
@@ -17,6 +17,11 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_lm_score")
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
