@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language_model, mixing, passages, quality, rules, simhash
+from tidemark.llm import bpe, chat, language_model, mixing, passages, pivots, quality, rules, simhash
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
@@ -31,7 +31,22 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_bpe_tokens")
 def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
-    return bpe.digests(bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(bpe.encode_texts(table(spark, sf_dir, "documents"), path, decoded=True))
+
+
+@query("op6_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.digests(chat.render(chat.fold(chat.event_log(rows))))
 
 
 @query("op8_quality_rules")

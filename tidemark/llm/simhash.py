@@ -126,7 +126,7 @@ def _replicate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"anchor": anchor, "fp": few[row], "home": home})
 
 
-def _forest(near: np.ndarray, homes: np.ndarray) -> Iterator[tuple[int, int]]:
+def spanning_forest(near: np.ndarray, homes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Links that keep together what ``near`` (homes x all) keeps together: at most one per fingerprint."""
     place = {int(at): row for row, at in enumerate(homes)}
     open_all = np.ones(near.shape[1], dtype=bool)
@@ -172,7 +172,7 @@ def links_at_anchors(anchor: np.ndarray, prints: np.ndarray, home: np.ndarray) -
             own = prints[first:first + size]
             at = np.flatnonzero(home[first:first + size])
             close = np.bitwise_count(own[at][:, None] ^ own[None, :]) <= NEAR
-            for x, y in _forest(close, at):
+            for x, y in spanning_forest(close, at):
                 if own[x] != own[y]:
                     left.append(int(own[x]))
                     right.append(int(own[y]))
