@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, language_model, mixing, passages, pivots, quality, rules, simhash
+from tidemark.llm import bpe, chat, html, language_model, mixing, passages, pivots, quality, rules, simhash
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
@@ -34,6 +35,12 @@ def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_texts(table(spark, sf_dir, "documents"), path, decoded=True))
 
 
+@query("op5_html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html.extract(table(spark, sf_dir, "pages"))
+    return extracted.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op6_embedding_dedup")
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
