@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import word_count
+from tidemark.llm.text import word_array, word_count
 from tidemark.scratch import stored
 
 #: Hash ranges per source. A range is the unit of one task, a window over a range sorts its rows.
@@ -22,9 +22,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     """Target words of each source, from one row per source (source, source_size).
 
     Sources in order of code points, null last, weigh ``weights`` in turn. They share the sum of all sizes;
-    none gets over ``most`` times its own, and what is left of that goes to the others by weight. The level
-    (target by weight) at which this settles is that of the first source, in order of room by weight, that
-    is not filled. Works on one row per source only.
+    none gets over ``most`` times its own, and what is left of that goes to the others by weight. Taking sources
+    as filled one by one, in order of room by weight, raises the level (target by weight) of the rest as long
+    as they are over their room and lowers it from then on: it settles at the highest. Works on one row per
+    source only.
     """
     order = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("_place") % len(weights) + 1)
@@ -40,8 +41,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         (F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(filled), F.lit(0.0))).alias("_rest"),
         F.sum("source_size").over(everything).cast("double").alias("_total"),
     ).withColumn("_level", (F.col("_total") - F.col("_caps")) / F.col("_rest"))
-    fits = F.when(F.col("_level") <= F.col("_cap") / F.col("_w"), F.col("_level"))
-    settled = levels.withColumn("_settled", F.min(fits).over(everything))
+    settled = levels.withColumn("_settled", F.max("_level").over(everything))
     return settled.select(
         "source", "source_size",
         F.least(F.col("_cap"), F.coalesce(F.col("_settled") * F.col("_w"), F.col("_cap"))).alias("target"),
@@ -65,15 +65,15 @@ def mix(
     Only (id, source, size, key) of a document is shuffled. The hash key is cut into ``ranges`` equal ranges,
     so a source with a third of all rows is as many tasks as any; sums per range give each its offset.
     """
-    sized = stored(
-        docs.select(
-            F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
-            hash_key(F.col("doc_id"), F.col("text")).alias("_key"), *keep,
-        ),
-        "mix-sizes",
-    ).withColumn("_range", F.conv(F.substring("_key", 1, 6), 16, 10).cast("long") * ranges / (1 << 24))
-    sized = sized.withColumn("_range", F.floor("_range"))
-    per_range = sized.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
+    key = hash_key(F.col("doc_id"), F.col("text"))
+    place = F.floor(F.conv(F.substring(key, 1, 6), 16, 10).cast("long") * ranges / (1 << 24))
+    measured = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), place.alias("_range"),
+        F.struct(*keep).alias("_kept") if keep else F.lit(None).alias("_kept"),
+    )
+    slim = stored(measured.drop("_kept"), "mix-sizes")
+    sized = measured if keep else slim
+    per_range = slim.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
         F.col("source").alias("_s"), F.col("_range").alias("_r"),
@@ -94,7 +94,26 @@ def mix(
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size") - F.col("_offset") - F.col("_inside")
     taken = epochs * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest))
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), *keep)
+    return placed.select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), *[F.col(f"_kept.{k}").alias(k) for k in keep]
+    )
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, ranges: int = RANGES) -> DataFrame:
+    """The mix itself: each document as often as its words are taken, the one at the cut in part.
+
+    Columns are those of ``docs``. A document without words is taken once.
+    """
+    taken = mix(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), weights, most, ranges, ("_row",))
+    size, part = F.col("size"), F.col("taken") % F.col("size")
+    whole = F.when(size > 0, F.floor(F.col("taken") / size)).otherwise(1).cast("int")
+    text = F.col("_row.text")
+    beginning = F.array_join(F.slice(word_array(text), 1, part.cast("int")), " ")
+    texts = F.concat(
+        F.array_repeat(text, whole), F.when((size > 0) & (part > 0), F.array(beginning)).otherwise(F.array())
+    )
+    repeated = taken.filter((size == 0) | (F.col("taken") > 0)).select("_row", F.explode(texts).alias("_text"))
+    return repeated.select(*[F.col("_text" if c == "text" else f"_row.{c}").alias(c) for c in docs.columns])
 
 
 #: The same in SQL, on whole tables, with one window over each source.
@@ -119,9 +138,9 @@ WITH sized AS (
             AS level
   FROM weighed
 ), settled AS (
-  SELECT *, min(CASE WHEN level <= cap / w THEN level END) OVER () AS fits FROM levels
+  SELECT *, max(level) OVER () AS settles FROM levels
 ), goals AS (
-  SELECT source, source_size, least(cap, coalesce(fits * w, cap)) AS target FROM settled
+  SELECT source, source_size, least(cap, coalesce(settles * w, cap)) AS target FROM settled
 ), summed AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY k, s.doc_id, s.size
