@@ -194,7 +194,8 @@ def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sums[2] += len(masked)
                 sums[3].update(masked.encode("utf-8", "replace"))
             sums[4] += len(segment)
-        yield _frame(done)
+        if done:
+            yield _frame(done)
     if sums is not None:
         yield _frame([row()])
 
