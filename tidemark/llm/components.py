@@ -9,7 +9,7 @@ from tidemark.scratch import remove_folder, scratch_folder
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) of every node that has a link; the root is the smallest node of its component.
+    """(node, root) of every node that has a link and is no root; a root is the smallest node of its component.
 
     ``links`` has two long columns ``a`` and ``b``; directions, repeats, loops and nulls do not matter. The
     alternating star method: each round points every node at its smallest neighbour, first from the larger

@@ -228,6 +228,11 @@ def in_article(path: str) -> bool:
     return any(re.split(r"[.#]", step)[0] in ARTICLE for step in path.split("/"))
 
 
+def heading(path: str) -> bool:
+    """Whether a block is a page's main heading, which often stands before the element with the text."""
+    return re.split(r"[.#]", path.rpartition("/")[2])[0] == "h1"
+
+
 def main_text(source: str | None, elements: frozenset[str], texts: frozenset[str], main: str | None) -> str:
     """The blocks of a page in the slots of its main text, one a line."""
     read = Page(source)
@@ -238,7 +243,7 @@ def main_text(source: str | None, elements: frozenset[str], texts: frozenset[str
             continue
         slot = next((up for up in reversed(parents(path)) if up in elements), "")
         inside = in_article(path) if articles else not main or slot == main or slot.startswith(f"{main}/")
-        if inside:
+        if inside or not articles and heading(path):
             rest.append(text)
             if text_token(path, text) not in texts:
                 kept.append(text)
