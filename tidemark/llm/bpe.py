@@ -2,11 +2,12 @@
 
 Texts of a batch are cut into chunks at white space. The chunks that are new to the task are normalised and
 cut into pieces, and all new pieces are merged together: an index maps each adjacent pair of symbols to all
-its places, ranks that occur are taken in ascending order, and only the pairs beside a merge are changed.
+its places in the batch, ranks that occur are taken in ascending order, each at all its places at once, and only
+the pairs beside a merge are changed.
 
 Null and blank texts have no ids and decode to an empty text; texts of any length are whole. Equal rows
-are rows of their own, an empty table gives an empty result. Strings of special tokens in a text become
-those tokens, as the vocabulary file asks for.
+are rows of their own, an empty table gives an empty result. Columns that are kept pass through unchanged, nulls
+too. Strings of special tokens in a text become those tokens, as the vocabulary file asks for.
 """
 
 from __future__ import annotations
@@ -14,21 +15,38 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import WORD
 
-
-#: Chunks a task remembers. Beyond it the memory starts anew: a matter of speed only.
-REMEMBERED = 300_000
+#: Chunks a task remembers from batch to batch; beyond it the memory starts anew. A matter of speed only.
+REMEMBERED = 200_000
+#: Documents that are encoded and handed on together.
+AT_ONCE = 500
 VOCABULARY = "word_bpe_49k.json"
+#: Up to here the splitting pattern of the file and that of the ``regex`` module agree on what is a letter; texts
+#: with later letters are split by the library that the file is made for.
+PLAIN = "\u024f"
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it prints, else the next one from 256 on."""
+    printing = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printing)]
+    letters = {b: chr(b) for b in printing} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return [letters[b] for b in range(256)]
+
+
+BYTE_LETTERS = byte_letters()
 
 
 class Vocabulary:
@@ -39,31 +57,57 @@ class Vocabulary:
 
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        if model["model"]["type"] != "BPE" or model["decoder"] is not None:
+        steps = model["pre_tokenizer"].get("pretokenizers", [])
+        if (
+            model["model"]["type"] != "BPE" or model["decoder"] is not None or len(steps) != 2
+            or [s["type"] for s in model["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]
+            or steps[0]["type"] != "Split" or not steps[0]["invert"] or steps[1]["type"] != "ByteLevel"
+        ):
             raise ValueError(f"{path} is no BPE file of the supported kind")
         tokenizer = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
+        self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
         self.ids: dict[str, int] = model["model"]["vocab"]
         self.ending: str = model["model"]["end_of_word_suffix"] or ""
-        self.tokens = {number: token for token, number in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
-        self.tokens.update((number, token) for token, number in self.special.items())
-        #: (left id, right id) -> (rank, id of both together)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (left, right) in enumerate(model["model"]["merges"]):
-            self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
+        self.tokens = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
+        for token, number in [*self.ids.items(), *self.special.items()]:
+            self.tokens[number] = token
+        merges = np.array(
+            [(self.ids[a] << 32 | self.ids[b], self.ids[a + b]) for a, b in model["model"]["merges"]], dtype=np.int64
+        )
+        #: Pairs (left id, right id) by rank, and the id of both together.
+        self.pairs, self.joined = merges[:, 0], merges[:, 1]
+        self.order = np.argsort(self.pairs)
+        self.sorted_pairs = self.pairs[self.order]
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
 
     def pieces(self, chunk: str) -> list[str]:
         """The pieces of a chunk without special tokens, as strings of byte letters."""
-        normal = self.normalizer.normalize_str(chunk)
-        return [piece for piece, _ in self.pre_tokenizer.pre_tokenize_str(normal) if piece]
+        if chunk.isascii():
+            normal = chunk.lower()
+        elif max(chunk) <= PLAIN and unicodedata.is_normalized("NFC", chunk):
+            normal = self.normalizer.normalize_str(chunk)
+        else:
+            normal = self.normalizer.normalize_str(chunk)
+            return [piece for piece, _ in self.pre_tokenizer.pre_tokenize_str(normal) if piece]
+        found = self.pattern.findall(normal)
+        return [
+            x if x.isascii() and x.isprintable() else "".join([BYTE_LETTERS[b] for b in x.encode()]) for x in found
+        ]
 
     def symbols(self, piece: str) -> list[int]:
         """One id for each letter of a piece, the last with the mark of a word's end."""
-        letters = [*piece[:-1], piece[-1] + self.ending]
-        return [self.ids[x] for x in letters if x in self.ids]
+        ids = self.ids
+        letters = [ids[x] for x in piece[:-1] if x in ids]
+        last = piece[-1] + self.ending
+        return [*letters, ids[last]] if last in ids else letters
+
+    def ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """The rank of each pair; -1 for pairs that are never merged."""
+        at = np.minimum(np.searchsorted(self.sorted_pairs, pairs), len(self.sorted_pairs) - 1)
+        return np.where(self.sorted_pairs[at] == pairs, self.order[at], -1)
 
 
 @lru_cache(maxsize=4)
@@ -71,135 +115,191 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def merge_pieces(pieces: list[list[int]], merges: dict[tuple[int, int], tuple[int, int]]) -> list[list[int]]:
-    """Merge all pieces at once; within a piece the leftmost of equal pairs goes first.
+class PairIndex:
+    """Rank of a pair -> all places of its left symbol, and the ranks that occur, least first."""
+
+    def __init__(self):
+        self.places: dict[int, list[np.ndarray]] = {}
+        self.active: list[int] = []
+
+    def add(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        some = ranks >= 0
+        if not some.any():
+            return
+        ranks, places = ranks[some], places[some]
+        order = np.argsort(ranks, kind="stable")
+        ranks, places = ranks[order], places[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        for rank, part in zip(ranks[np.r_[0, cuts]].tolist(), np.split(places, cuts)):
+            if rank not in self.places:
+                self.places[rank] = []
+                heapq.heappush(self.active, rank)
+            self.places[rank].append(part)
+
+    def take(self) -> tuple[int, np.ndarray]:
+        rank = heapq.heappop(self.active)
+        return rank, np.unique(np.concatenate(self.places.pop(rank)))
 
-    ``places`` is the index: pair -> places of its left symbol, over all pieces. ``-1`` ends each piece, so
-    no pair reaches over it. A place may be out of date by the time its pair is taken; then it is left out.
+
+def merge_pieces(pieces: list[list[int]], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces one after another, and how many each piece has.
+
+    ``-1`` stands before, between and behind pieces, so no pair reaches over it. A place can be out of date by the
+    time its pair is taken; then it is left out. Within a piece the leftmost of overlapping pairs goes first.
     """
-    symbol: list[int] = []
-    starts: list[int] = []
-    for piece in pieces:
-        starts.append(len(symbol))
-        symbol.extend(piece)
-        symbol.append(-1)
-    size = len(symbol)
-    right, left = list(range(1, size + 1)), list(range(-1, size - 1))
-    places: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for at in range(size - 1):
-        pair = (symbol[at], symbol[at + 1])
-        if pair in merges:
-            places[pair].append(at)
-    active = [(merges[pair][0], pair) for pair in places]
-    heapq.heapify(active)
-    while active:
-        _, pair = heapq.heappop(active)
-        first, second = pair
-        joined = merges[pair][1]
-        for at in sorted(places.pop(pair, ())):
-            if symbol[at] != first:
-                continue
-            after = right[at]
-            if after >= size or symbol[after] != second:
-                continue
-            symbol[at], symbol[after] = joined, -2
-            beyond = right[after]
-            right[at] = beyond
-            if beyond < size:
-                left[beyond] = at
-            for start in (left[at], at):
-                if start < 0 or right[start] >= size:
-                    continue
-                fresh = (symbol[start], symbol[right[start]])
-                if fresh in merges:
-                    if fresh not in places:
-                        heapq.heappush(active, (merges[fresh][0], fresh))
-                    places[fresh].append(start)
-    bounds = [*starts, size]
-    return [[s for s in symbol[a:b] if s >= 0] for a, b in zip(bounds, bounds[1:])]
+    lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+    symbol = np.full(int(lengths.sum()) + len(pieces) + 1, -1, dtype=np.int64)
+    owner = np.repeat(np.arange(len(pieces)), lengths)
+    symbol[np.arange(len(owner)) + owner + 1] = [s for piece in pieces for s in piece]
+    left, right = np.arange(len(symbol)) - 1, np.arange(len(symbol)) + 1
+    alive = np.ones(len(symbol), dtype=bool)
+    index = PairIndex()
+
+    def look(places: np.ndarray) -> None:
+        a, b = symbol[places], symbol[right[places]]
+        index.add(np.where((a >= 0) & (b >= 0), vocab.ranks(a << 32 | b), -1), places)
+
+    look(np.arange(len(symbol) - 1))
+    while index.active:
+        rank, at = index.take()
+        first, second = int(vocab.pairs[rank]) >> 32, int(vocab.pairs[rank]) & 0xFFFFFFFF
+        at = at[alive[at] & (symbol[at] == first)]
+        at = at[symbol[right[at]] == second]
+        if first == second and len(at) > 1:
+            free, last = [], -1
+            for place in at.tolist():
+                if place != last:
+                    free.append(place)
+                    last = int(right[place])
+            at = np.array(free, dtype=np.int64)
+        if not len(at):
+            continue
+        gone = right[at]
+        symbol[at], alive[gone] = vocab.joined[rank], False
+        beyond = right[gone]
+        right[at], left[beyond] = beyond, at
+        look(np.unique(np.r_[left[at], at]))
+    kept = alive & (symbol >= 0)
+    of = np.cumsum(symbol < 0) - 1
+    return symbol[kept], np.bincount(of[kept], minlength=len(pieces))[:len(pieces)]
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
 class Encoder:
-    """Encodes texts, with the ids of chunks already met kept for the task."""
+    """Encodes batches of texts; the ids of chunks already met are kept for the next batch."""
 
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
         self.vocab, self.remembered = vocab, remembered
-        self.known: dict[str, list[int]] = {}
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        cut = [self.vocab.pieces(c) for c in new]
-        distinct = list(dict.fromkeys(p for pieces in cut for p in pieces))
-        merged = dict(zip(distinct, merge_pieces([self.vocab.symbols(p) for p in distinct], self.vocab.merges)))
-        for chunk, pieces in zip(new, cut):
-            self.known[chunk] = [i for p in pieces for i in merged[p]]
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        pattern = self.vocab.special_pattern
-        if len(self.known) > self.remembered:
-            self.known = {}
-        split_texts = []
-        for text in texts:
-            parts: list[tuple[list[str], int | None]] = []
-            end = 0
-            for found in pattern.finditer(text) if pattern else ():
-                parts.append((WORD.findall(text[end:found.start()]), self.vocab.special[found.group()]))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def numbered(self, text: str) -> np.ndarray:
+        """The chunks of a text by number; unknown ones get the next. A special token is its own chunk,
+        known by a space before it, which no other chunk has."""
+        known, pattern = self.known, self.vocab.special_pattern
+        if pattern is None or not pattern.search(text):
+            chunks = WORD.findall(text)
+        else:
+            chunks, end = [], 0
+            for found in pattern.finditer(text):
+                chunks += [*WORD.findall(text[end:found.start()]), f" {found.group()}"]
                 end = found.end()
-            parts.append((WORD.findall(text[end:]), None))
-            split_texts.append(parts)
-        self.learn(c for parts in split_texts for chunks, _ in parts for c in chunks)
-        known = self.known
-        for parts in split_texts:
-            ids: list[int] = []
-            for chunks, special in parts:
-                for chunk in chunks:
-                    ids += known[chunk]
-                if special is not None:
-                    ids.append(special)
-            yield ids
+            chunks += WORD.findall(text[end:])
+        return np.array([known.setdefault(c, len(known)) for c in chunks], dtype=np.int64)
+
+    def learn(self) -> None:
+        """Ids of all chunks that have a number and no ids yet."""
+        vocab, done = self.vocab, len(self.starts)
+        new = [c for c, _ in zip(reversed(self.known), range(len(self.known) - done))][::-1]
+        cut: list[list[int]] = []
+        numbers: dict[str, int] = {}
+        for chunk in new:
+            pieces = [chunk] if chunk[0] == " " else vocab.pieces(chunk)
+            cut.append([numbers.setdefault(p, len(numbers)) for p in pieces])
+        symbols = [[vocab.special[p[1:]]] if p[0] == " " else vocab.symbols(p) for p in numbers]
+        ids, sizes = merge_pieces(symbols, vocab)
+        starts = np.cumsum(sizes) - sizes
+        flat = np.array([n for pieces in cut for n in pieces], dtype=np.int64)
+        per_chunk = np.array([len(pieces) for pieces in cut], dtype=np.int64)
+        ids = ids[ranges(starts[flat], sizes[flat])]
+        owner = np.repeat(np.arange(len(cut)), per_chunk)
+        chunk_sizes = np.bincount(owner, sizes[flat], minlength=len(cut)).astype(np.int64)
+        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(chunk_sizes) - chunk_sizes]
+        self.sizes = np.r_[self.sizes, chunk_sizes]
+        self.ids = np.r_[self.ids, ids]
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        if len(self.known) > self.remembered:
+            self.forget()
+        numbered = [self.numbered(t or "") for t in texts]
+        if len(self.known) > len(self.starts):
+            self.learn()
+        for numbers in numbered:
+            yield self.ids[ranges(self.starts[numbers], self.sizes[numbers])].astype(np.int32)
 
 
 def decode(vocab: Vocabulary, ids: list[int]) -> str:
     """Tokens joined by one space, as the library does for a file that names no decoder."""
     tokens = vocab.tokens
-    return " ".join([tokens[i] for i in ids if i in tokens])
+    return " ".join([tokens[i] for i in ids if 0 <= i < len(tokens)])
 
 
-def encode_texts(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` and the ids of each text as an array; no shuffle."""
+def _passed(batch: pa.RecordBatch, keep: tuple[str, ...], at: int) -> dict[str, pa.Array]:
+    return {k: batch.column(k).slice(at, AT_ONCE) for k in keep}
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(vocabulary(path))
-        for texts in batches:
-            # A few documents at a time, so that very long ones need no more memory than they must.
-            out: list[np.ndarray] = []
-            for at in range(0, len(texts), 64):
-                few = [t or "" for t in texts.iloc[at:at + 64]]
-                out += [np.array(ids, dtype=np.int32) for ids in encoder.encode(few)]
-            yield pd.Series(out, dtype=object)
 
-    return docs.select(*keep, ids_of("text").alias("ids"))
+def encode_texts(
+    docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), decoded: bool = False
+) -> DataFrame:
+    """``keep``, the ids of each text as an array, and with ``decoded`` the text they decode to; no shuffle."""
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path)
+        encoder = Encoder(vocab)
+        for batch in batches:
+            encoded = encoder.encode(batch.column("_text").to_pylist())
+            for at in range(0, batch.num_rows, AT_ONCE):
+                ids = list(islice(encoded, min(AT_ONCE, batch.num_rows - at)))
+                out = _passed(batch, keep, at) | {"ids": pa.array(ids, type=pa.list_(pa.int32()))}
+                if decoded:
+                    out["decoded"] = pa.array([decode(vocab, i.tolist()) for i in ids], type=pa.string())
+                yield pa.RecordBatch.from_pydict(out)
+
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(
+        made, ", ".join([*columns, "ids array<int>", *(["decoded string"] if decoded else [])])
+    )
 
 
 def decode_ids(tokens: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, the ids, and the text they decode to."""
+    """``keep``, the ids, and the text they decode to; null ids give a null text."""
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.select(*keep).schema]
 
-    @F.pandas_udf("string")
-    def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            yield pd.Series([None if ids is None else decode(vocab, list(ids)) for ids in batch], dtype=object)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                ids = batch.column("ids").slice(at, AT_ONCE)
+                texts = [None if i is None else decode(vocab, i) for i in ids.to_pylist()]
+                out = _passed(batch, keep, at) | {"ids": ids, "decoded": pa.array(texts, type=pa.string())}
+                yield pa.RecordBatch.from_pydict(out)
 
-    return tokens.select(*keep, "ids", text_of("ids").alias("text"))
+    return tokens.select(*keep, "ids").mapInArrow(made, ", ".join([*columns, "ids array<int>", "decoded string"]))
 
 
-def digests(decoded: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def digests(tokens: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Number of ids and digests of ids and decoded text."""
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return decoded.select(
+    return tokens.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
