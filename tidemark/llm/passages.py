@@ -171,7 +171,10 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
     The text of each document is shuffled once, to meet its recurring phrases; documents without any are
     rendered there and then. Only the others go on, from a table in the shared folder.
     """
-    names = [c.strip().split(" ")[0] for c in columns.split(",")]
+    # Rendered columns have names of their own until the end: they may be called like those they are made from.
+    wanted = [c.strip().split(" ") for c in columns.split(",")]
+    names = [f"_out_{name}" for name, _ in wanted]
+    rendered = ", ".join(f"_out_{name} {kind}" for name, kind in wanted)
     keyed = docs.select(
         F.struct(*keep).alias("_doc"), "text", F.xxhash64("doc_id", "text").alias("_key")
     )
@@ -198,7 +201,7 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
 
     met = stored(
         keyed.join(places, F.col("_key") == F.col("_k"), "left").select("_key", "_doc", "text", "recurring")
-        .mapInPandas(clean, f"_key long, _doc {doc_type}, recurring array<int>, text string, {columns}"),
+        .mapInPandas(clean, f"_key long, _doc {doc_type}, recurring array<int>, text string, {rendered}"),
         "phrase-documents",
     )
     candidates = met.filter(F.col("recurring").isNotNull())
@@ -227,10 +230,12 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
     changed = (
         candidates.select("_key", "_doc", "text")
         .join(starts, F.col("_key") == F.col("_k"), "left").select("_doc", "text", "starts")
-        .mapInPandas(removed, f"_doc {doc_type}, {columns}")
+        .mapInPandas(removed, f"_doc {doc_type}, {rendered}")
     )
     same = met.filter(F.col("recurring").isNull()).select("_doc", *names)
-    return same.union(changed).select(*[F.col(f"_doc.{k}").alias(k) for k in keep], *names)
+    return same.union(changed).select(
+        *[F.col(f"_doc.{k}").alias(k) for k in keep], *[F.col(f"_out_{name}").alias(name) for name, _ in wanted]
+    )
 
 
 def kept_words(found: list[str], gone: list[tuple[int, int]]) -> list[str]:
