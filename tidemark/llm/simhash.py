@@ -224,24 +224,38 @@ def near_links(prints: DataFrame, full: int = FULL) -> DataFrame:
     return at_anchors.union(in_balls)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every document, as a table in the shared folder."""
-    return stored(docs.select("doc_id", fingerprint_of("text").alias("fp")), "fingerprints")
-
-
 def classes(prints: DataFrame, full: int = FULL) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of a table (doc_id, fp)."""
+    """(fp, root, component_id) of every distinct fingerprint of a table (doc_id, fp).
+
+    ``root`` names the component, ``component_id`` is its smallest document.
+    """
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("_first")), "distinct-fingerprints")
-    rooted = components(near_links(distinct, full))
+    rooted = components(near_links(distinct, full)).withColumnRenamed("root", "_root")
     named = distinct.join(rooted, F.col("fp") == F.col("node"), "left").select(
-        "fp", "_first", F.coalesce("root", "fp").alias("_root")
+        "fp", "_first", F.coalesce("_root", "fp").alias("root")
     )
-    smallest = named.groupBy(F.col("_root").alias("_r")).agg(F.min("_first").alias("component_id"))
-    return named.join(smallest, F.col("_root") == F.col("_r")).select("fp", "component_id")
+    smallest = named.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("component_id"))
+    return named.join(smallest, F.col("root") == F.col("_r")).select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, full: int = FULL) -> DataFrame:
     """doc_id, fingerprint as 16 hexadecimal digits, and component_id of every document."""
-    prints = fingerprints(docs)
+    prints = stored(docs.select("doc_id", fingerprint_of("text").alias("fp")), "fingerprints")
     found = prints.join(classes(prints, full), "fp")
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, full: int = FULL) -> DataFrame:
+    """The documents that are the first of their component, with all their columns.
+
+    Rows with the same id are told apart by their text; of equal rows one stays.
+    """
+    own = F.xxhash64("text")
+    prints = stored(docs.select("doc_id", own.alias("_text"), fingerprint_of("text").alias("fp")), "fingerprints")
+    first = prints.join(classes(prints, full), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "_text")).alias("_chosen")).select(
+        F.col("_chosen.doc_id").alias("_id"), F.col("_chosen._text").alias("_text")
+    )
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), own.alias("_own"))
+    kept = rows.join(chosen, (F.col("_own") == F.col("_text")) & F.col("_doc").eqNullSafe(F.col("_id")))
+    return kept.dropDuplicates(["_own", "_doc"]).select("_row.*")
