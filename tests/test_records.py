@@ -21,7 +21,7 @@ def records(spark, *nodes):
 
 
 def test_pages_without_records(spark, tmp_path):
-    bodies = ['{"orders": [{"id": 1, "x": {"y": [1.50]}}, {"id": 2}]}', "", '{"other": [{"id": 3}]}', '{"orders": []}', "oops", '{"orders": null}']
+    bodies = ['{"orders": [{"id": 1, "x": {"y": [1.50]}}, {"id": 2}]}', "", '{"other": [{"id": 3}]}', '{"orders": []}', " \n", '{"orders": null}']
     for n, body in enumerate(bodies):
         (tmp_path / f"{n}.json").write_text(body)
     got = explode_pages(read_pages(spark, str(tmp_path)), ORDERS).orderBy("_pos").collect()
@@ -29,6 +29,15 @@ def test_pages_without_records(spark, tmp_path):
     assert json.loads(got[0]._raw) == {"id": 1, "x": {"y": [1.50]}}
 
 
+@pytest.mark.parametrize("body", ["oops", '{"orders": [{"id": 1}, {"id"', "[]", '"x"', '{"orders": {"id": 1}}', "{"])
+def test_broken_pages(spark, body):
+    pages = spark.createDataFrame([('{"orders": [{"id": 1}]}', "p0"), (body, "p1")], "value string, _page string")
+    with pytest.raises(Exception, match="page is no readable envelope: p1"):
+        explode_pages(pages, ORDERS).collect()
+    rows = project(explode_pages(pages, ORDERS, broken="reject"), ORDERS)
+    assert {(r._page, r._reject) for r in rows.collect()} == {("p0", "no_updated_at"), ("p1", "bad_json")}
+
+
 def test_other_envelope_name(spark):
     page = spark.createDataFrame([('{"inventory_locations": [{"inventory_item_id": 1, "location_id": 2}]}',)], "value string")
     row = project(explode_pages(page, LEVELS), LEVELS).first()

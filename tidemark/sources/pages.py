@@ -21,19 +21,33 @@ def stream_pages(
 ) -> DataFrame:
     """The same pages as a stream over the landing folder."""
     reader = spark.readStream.option("wholetext", one_per_file).option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).withColumn("_page", F.col("_metadata.file_path"))
+    return reader.option("recursiveFileLookup", True).text(path).withColumn("_page", F.col("_metadata.file_path"))
 
 
-def explode_pages(pages: DataFrame, resource: Resource, body: str = "value") -> DataFrame:
+def explode_pages(pages: DataFrame, resource: Resource, body: str = "value", broken: str = "fail") -> DataFrame:
     """One row per record, its JSON text in ``_raw`` and its place in the page in ``_pos``.
 
-    A page without the resource's field, or with an empty or broken body, has no rows.
+    A page with an empty body, or without the resource's field, has no rows. A body that is no readable envelope
+    fails the query; with ``broken="reject"`` it is one row with the body as its record, which later
+    counts as rejected.
     """
+    if broken not in ("fail", "reject"):
+        raise ValueError(f"broken must be fail or reject, not {broken!r}")
     field = resource.page_field
-    envelope = F.from_json(F.col(body), f"`{field}` array<string>")
+    text = F.trim(F.col(body))
+    envelope = F.from_json(
+        F.col(body), f"`{field}` array<string>, `_broken` string", {"columnNameOfCorruptRecord": "_broken"}
+    )
+    parsed = parse_once(pages.withColumn("_body", F.col(body)), envelope, "_envelope")
+    unreadable = (text != "") & (F.col("_envelope._broken").isNotNull() | ~text.startswith("{"))
+    if broken == "fail":
+        page = F.coalesce(F.col("_page"), F.lit("?")) if "_page" in pages.columns else F.lit("?")
+        instead = F.raise_error(F.concat(F.lit("page is no readable envelope: "), page)).cast("array<string>")
+    else:
+        instead = F.array(F.col("_body"))
+    records = F.when(unreadable, instead).otherwise(F.col("_envelope")[field])
     rest = [c for c in pages.columns if c != body]
-    parsed = parse_once(pages, envelope, "_envelope")
-    return parsed.select(*rest, F.posexplode(F.col("_envelope")[field]).alias("_pos", "_raw"))
+    return parsed.select(*rest, F.posexplode(records).alias("_pos", "_raw"))
 
 
 def project_records(
