@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 MASK = "***REDACTED***"
 
+#: Long s, Kelvin sign, dotless i and dotted I equal s, k and i when case is ignored.
+CASE_PARTNERS = ("\u017f", "\u212a", "\u0131", "\u0130")
+
 # Key names and value patterns that mark a secret.
 KEY_WORDS = ("token", "password", "secret", "api_key", "access_token", "authorization", "ciphertext")
 VALUE_WORDS = ("token", "password", "secret", "api_key", "bearer")
@@ -22,19 +25,27 @@ EXACT_KEYS = (
 # White space as a Unicode-aware regular expression sees it, spelled out for Java.
 _SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _VALUE = rf"""[^{_SPACE}"',&]"""
+
+def _any_case(words: tuple[str, ...]) -> str:
+    """Java's case folding leaves out the dotted and the dotless i, so they are written out."""
+    return "|".join(w.replace("i", "[i\u0130\u0131]") for w in words)
+
+
 _VALUE_PATTERN = (
-    rf"""(?iu)({"|".join(VALUE_WORDS)})["']?[{_SPACE}]*[:=][{_SPACE}]*["']?{_VALUE}{{4,}}({_VALUE}{{4}})"""
+    rf"""(?iu)({_any_case(VALUE_WORDS)})["']?[{_SPACE}]*[:=][{_SPACE}]*["']?{_VALUE}{{4,}}({_VALUE}{{4}})"""
 )
-_KEY_PATTERN = rf"(?iu)({'|'.join(KEY_WORDS)})"
+_KEY_PATTERN = rf"(?iu)({_any_case(KEY_WORDS)})"
 
 
 def redact_text(text: Column | str) -> Column:
     """Replace ``key: value`` secrets of eight or more characters by ``key=***last4``."""
     c = F.col(text) if isinstance(text, str) else text
-    # A plain search rules out most texts before the much slower pattern runs. The two signs are
+    # A plain search rules out most texts before the much slower pattern runs. These signs are
     # the only ones outside ASCII that match a letter of the words when case is ignored.
     folded = F.lower(c)
-    candidate = c.contains("\u017f") | c.contains("\u212a")
+    candidate = F.lit(False)
+    for sign in CASE_PARTNERS:
+        candidate = candidate | c.contains(sign)
     for word in VALUE_WORDS:
         candidate = candidate | folded.contains(word)
     return F.when(candidate, F.regexp_replace(c, _VALUE_PATTERN, "$1=***$2")).otherwise(c)
@@ -82,7 +93,10 @@ _secret = re.compile(f"(?i){'|'.join(KEY_WORDS)}").search
 
 
 def redact_json(payload: Column | str) -> Column:
-    """Redact JSON text whose schema is not known; text that is no JSON is redacted as text."""
+    """Redact JSON text whose schema is not known; text that is no JSON is redacted as text.
+
+    Numbers come out as they were written, and keys that repeat stay.
+    """
     key_words, value_words, mask = "|".join(KEY_WORDS), "|".join(VALUE_WORDS), MASK
 
     # Everything is local so that workers need not import this package.
@@ -96,18 +110,35 @@ def redact_json(payload: Column | str) -> Column:
             rf"""(?i)({value_words})["']?\s*[:=]\s*["']?[^\s"',&]{{4,}}([^\s"',&]{{4}})"""
         )
 
-        def clean(node):
-            if isinstance(node, dict):
-                return {k: mask if secret_key.search(k) else clean(v) for k, v in node.items()}
+        class Pairs(list):
+            """The entries of an object."""
+
+        class Number(str):
+            """A number as it was written."""
+
+        def clean(text):
+            return secret_value.sub(r"\1=***\2", text)
+
+        def written(node):
+            if isinstance(node, Pairs):
+                entries = (
+                    f"{json.dumps(k, ensure_ascii=False)}: {json.dumps(mask) if secret_key.search(k) else written(v)}"
+                    for k, v in node
+                )
+                return "{" + ", ".join(entries) + "}"
             if isinstance(node, list):
-                return [clean(v) for v in node]
-            return secret_value.sub(r"\1=***\2", node) if isinstance(node, str) else node
+                return "[" + ", ".join(map(written, node)) + "]"
+            if isinstance(node, Number):
+                return str(node)
+            return json.dumps(clean(node) if isinstance(node, str) else node, ensure_ascii=False)
 
         def one(text):
             if text is None:
                 return None
             try:
-                return json.dumps(clean(json.loads(text)), ensure_ascii=False)
+                return written(json.loads(
+                    text, object_pairs_hook=Pairs, parse_float=Number, parse_int=Number, parse_constant=Number
+                ))
             except ValueError:
                 return clean(text)
 
