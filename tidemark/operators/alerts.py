@@ -30,7 +30,7 @@ def alerts_of_failed_runs(ledger: DataFrame) -> DataFrame:
 
 
 def alerts_of_failed_rules(summary: DataFrame, at: str = "at") -> DataFrame:
-    """From ``rules.summarize`` with a time column added."""
+    """From ``rules.summarize``, with the time of a run in the column ``at``."""
     failed = summary.filter("failed")
     return failed.select(
         F.concat_ws(":", F.lit("validation_fail"), *TABLE).alias("key"),
@@ -63,6 +63,8 @@ def make_replay(
     updates. An alert is sent unless its key was sent within the quiet time, or the pipeline sent
     its maximum within the rate window. While the maximum is reached, rows are skipped by search.
     """
+    if quiet_s > rate_s:
+        raise ValueError("the quiet time may not exceed the rate window, which is how far back sends are kept")
     quiet, rate = quiet_s * 1_000_000, rate_s * 1_000_000
 
     def replay(times, keys, sends):
@@ -106,7 +108,8 @@ def dedupe_alerts(
     Whether an alert is sent depends on all sends before it, so a pipeline is replayed in time
     order. It is cut into slices of about ``slice_rows`` rows, made of minutes or of parts of a minute
     that has more: a task holds one slice, all pipelines run side by side, and only the last few
-    sends go on to the next slice.
+    sends of each pipeline, a small table of their own, go on to the next slice. Slices are replayed when
+    this is called, each once, and kept in the shared folder.
     """
     bucketed = with_time_bucket(alerts, [pipeline], at, slice_rows, MINUTE_MICROS)
     counts = bucketed.groupBy(pipeline, "_bucket").agg(F.count("*").alias("_n"))
@@ -120,10 +123,6 @@ def dedupe_alerts(
 
     schema = T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())])
     step = _slice_step(alerts.columns, key, at, alert_id, make_replay(quiet_s, rate_s, max_per_rate))
-    if last == 0:
-        rows = alerts.withColumn("_sent_before", F.lit(False))
-        return rows.groupBy(pipeline).applyInPandas(step, schema)
-
     spark = alerts.sparkSession
     folder = scratch_folder(spark, "alerts")
     same = F.col(pipeline).eqNullSafe(F.col("_p")) & (F.col("_bucket") == F.col("_b"))
@@ -134,12 +133,16 @@ def dedupe_alerts(
         rows = spark.read.parquet(f"{folder}/slices").filter(F.col("_slice") == n).drop("_slice")
         rows = rows.withColumn("_sent_before", F.lit(False))
         if n > 0:
-            done = spark.read.schema(schema).parquet(*(f"{folder}/done/{m}" for m in range(n)))
-            carried = done.filter(F.col("sent") & (F.col(key) != "")).drop("sent")
-            carried = carried.withColumn("_rank", F.row_number().over(newest))
-            carried = carried.filter(F.col("_rank") <= max_per_rate).drop("_rank")
+            carried = spark.read.schema(alerts.schema).parquet(f"{folder}/sends/{n - 1}")
             rows = rows.unionByName(carried.withColumn("_sent_before", F.lit(True)))
         rows.groupBy(pipeline).applyInPandas(step, schema).write.parquet(f"{folder}/done/{n}")
+        if n < last:
+            done = spark.read.schema(schema).parquet(f"{folder}/done/{n}")
+            sends = done.filter(F.col("sent") & (F.col(key) != "")).drop("sent")
+            if n > 0:
+                sends = sends.unionByName(carried)
+            sends = sends.withColumn("_rank", F.row_number().over(newest))
+            sends.filter(F.col("_rank") <= max_per_rate).drop("_rank").write.parquet(f"{folder}/sends/{n}")
     return spark.read.schema(schema).parquet(*(f"{folder}/done/{m}" for m in range(last + 1)))
 
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_since
@@ -137,6 +137,12 @@ def inspect_runs(runs: DataFrame, logs: DataFrame, results: DataFrame) -> DataFr
     return head.unionByName(lines).unionByName(checks)
 
 
+def timeline(sections: DataFrame) -> DataFrame:
+    """``inspect_runs`` with the place of each row in its run: the run first, then in order of time."""
+    place = Window.partitionBy("sync_id").orderBy(F.col("section") != "run", "at", "section", "name", "detail")
+    return sections.withColumn("place", F.row_number().over(place))
+
+
 def level_rank(level: Column) -> Column:
     """Place of a level in the order of severity; an unknown level ranks lowest."""
     return F.greatest(F.array_position(F.array(*(F.lit(x) for x in LEVELS)), F.upper(level)) - 1, F.lit(0))

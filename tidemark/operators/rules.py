@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.model import LOOKBACK_RUNS, RESULT_STATUSES, Thresholds
-from tidemark.operators.ledger import TABLE, with_history
+from tidemark.operators.ledger import TABLE, successes, with_history
 from tidemark.operators.merge import is_active
 
 
@@ -96,6 +96,9 @@ def soft_delete_sanity(limits: Thresholds = Thresholds()) -> Column:
     return _result("soft_delete_sanity", status, deleted, F.when(applies, details).otherwise(_NOTHING))
 
 
+# Rules that look at earlier runs of the same table.
+volume_sanity.needs_history = weekly_full_drift.needs_history = True
+
 RULES = (fetch_upsert_parity, volume_sanity, weekly_full_drift, soft_delete_sanity)
 
 
@@ -105,8 +108,11 @@ def evaluate_rules(
     rules: Sequence = RULES,
     few_runs: bool = False,
 ) -> DataFrame:
-    """One row per successful run and rule."""
-    runs = with_history(ledger, LOOKBACK_RUNS, limits.zero_streak, few_runs)
+    """One row per successful run and rule. Earlier runs are looked at only if a rule needs them."""
+    if any(getattr(rule, "needs_history", False) for rule in rules):
+        runs = with_history(ledger, LOOKBACK_RUNS, limits.zero_streak, few_runs)
+    else:
+        runs = successes(ledger)
     return runs.select(
         "sync_id", *TABLE, "mode", "started_at", "finished_at",
         F.inline(F.array(*(rule(limits) for rule in rules))),
@@ -118,12 +124,13 @@ def evaluate_rule(ledger: DataFrame, rule, limits: Thresholds = Thresholds()) ->
 
 
 def summarize(results: DataFrame) -> DataFrame:
-    """Per run: did a rule fail, and which; a run has as many results as there are rules."""
+    """Per run: did a rule fail, and which, and when the run ended; as many results as there are rules."""
     failed = F.when(F.col("status") == "failed", F.col("rule"))
     return results.groupBy("sync_id", *TABLE).agg(
         F.count("*").alias("rules_run"),
         F.coalesce(F.bool_or(F.col("status") == "failed"), F.lit(False)).alias("failed"),
         F.sort_array(F.collect_list(failed)).alias("failed_rules"),
+        *([F.max("finished_at").alias("finished_at")] if "finished_at" in results.columns else []),
     )
 
 

@@ -51,10 +51,14 @@ def amount_by_gateway(orders: DataFrame) -> DataFrame:
     return payments.groupBy("gateway").agg(F.sum("amount").alias("total"))
 
 
+def variant_rows(products: DataFrame) -> DataFrame:
+    """Variant ids of active products, without NULL and zero, one for each variant."""
+    return unnest(active_rows(products), "variants", {"id": "bigint"}).filter(F.col("id") != 0)
+
+
 def variant_ids(products: DataFrame) -> DataFrame:
-    """Distinct variant ids of active products, without NULL and zero."""
-    ids = unnest(active_rows(products), "variants", {"id": "bigint"})
-    return ids.filter(F.col("id") != 0).distinct()
+    """The same ids, each once."""
+    return variant_rows(products).distinct()
 
 
 def request_batches(
