@@ -112,8 +112,8 @@ CHECKPOINT_SCHEMA = (
 LEDGER_SCHEMA = (
     "sync_id string, pipeline string, resource string, mode string, trigger string, "
     "request_id string, started_at timestamp, finished_at timestamp, status string, "
-    "fetched_count int, upserted_count int, skipped_invalid int, soft_deleted_count int, "
-    "rows_before int, rows_after int, duration_seconds decimal(10,2), error string"
+    "fetched_count bigint, upserted_count bigint, skipped_invalid bigint, soft_deleted_count bigint, "
+    "rows_before bigint, rows_after bigint, duration_seconds decimal(10,2), error string"
 )
 RESULT_SCHEMA = (
     "sync_id string, pipeline string, resource string, rule string, status string, "

@@ -11,17 +11,17 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.model import (
-    CHECKPOINT_SCHEMA, LEDGER_SCHEMA, MODES, RESULT_SCHEMA, Resource, Thresholds, resource,
-)
-from tidemark.operators.cursor import load_checkpoint, merge_checkpoints, top_position
+from tidemark.model import LEDGER_SCHEMA, MODES, RESULT_SCHEMA, Resource, Retention, Thresholds, resource
+from tidemark.operators.cursor import load_checkpoint, top_position
 from tidemark.operators.ledger import fold_entries, recent_runs
 from tidemark.operators.merge import load_counts
+from tidemark.operators.retention import expired_results, expired_runs, keep_rows
 from tidemark.operators.rules import evaluate_rules
-from tidemark.operators.unnest import variant_ids
+from tidemark.operators.unnest import variant_rows
+from tidemark.scratch import remove_folder
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import append_rows
-from tidemark.sinks.versions import VersionedTable
+from tidemark.sinks.tables import append_rows, retain_rows
+from tidemark.sinks.versions import Checkpoints
 from tidemark.sources.incremental import read_incremental
 from tidemark.sources.pages import accepted, explode_pages, project_records, read_pages
 
@@ -61,7 +61,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.checkpoints = VersionedTable(spark, f"{self.root}/checkpoints", CHECKPOINT_SCHEMA)
+        self.checkpoints = Checkpoints(spark, f"{self.root}/checkpoints")
         self.ledger_path = f"{self.root}/ledger"
         self.results_path = f"{self.root}/results"
 
@@ -83,6 +83,21 @@ class Warehouse:
     def results(self) -> DataFrame:
         return self._appended(self.results_path, RESULT_SCHEMA)
 
+    def retain(self, as_of: datetime, keep: Retention = Retention()) -> dict[str, int]:
+        """Remove expired runs and rule results from the stored tables; returns how many entries went."""
+        now = F.lit(as_of)
+        entries = self._appended(self.ledger_path, f"{LEDGER_SCHEMA}, entry_at timestamp")
+        runs = fold_entries(entries, "entry_at")
+        old = runs.filter(expired_runs(now, keep)["runs"]).select("sync_id")
+        results = self.results()
+        return {
+            "runs": retain_rows(
+                entries, self.ledger_path, entries.join(old, "sync_id", "left_anti").select(*entries.columns),
+                ("pipeline", "resource"),
+            ),
+            "results": retain_rows(results, self.results_path, keep_rows(results, expired_results(now, keep))),
+        }
+
     def _appended(self, path: str, schema: str) -> DataFrame:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
@@ -93,7 +108,7 @@ class Warehouse:
         entry = {"entry_at": datetime.now(timezone.utc), **values}
         schema = self.spark.createDataFrame([], f"{LEDGER_SCHEMA}, entry_at timestamp").schema
         row = tuple(entry.get(c) for c in schema.names)
-        append_rows(self.spark.createDataFrame([row], schema), self.ledger_path)
+        append_rows(self.spark.createDataFrame([row], schema), self.ledger_path, by=("pipeline", "resource"))
 
 
 def run_sync(
@@ -107,10 +122,21 @@ def run_sync(
     """Read landed pages, merge them, save the checkpoint, record the run and check it.
 
     The state is published before the checkpoint: a crash in between leads to a harmless repeated
-    merge. A failed load fails the run and leaves the checkpoint where it was.
+    merge. A failed load, an unreadable page among its causes, fails the run and leaves the checkpoint where
+    it was.
     """
-    table = resource(spec.resource)
     started = as_of or datetime.now(timezone.utc)
+    return record_run(
+        warehouse, spec, read_pages(warehouse.spark, landing, one_per_file), started, limits, continuous=False
+    )
+
+
+def record_run(
+    warehouse: Warehouse, spec: SyncSpec, pages: DataFrame, started: datetime, limits: Thresholds, continuous: bool
+) -> SyncResult:
+    """One load with its entries in the ledger and its rule results. ``continuous``: a batch of a stream, which
+    merges all its rows and never sweeps."""
+    table = resource(spec.resource)
     result = SyncResult(spec.sync_id)
     warehouse.add_entry(
         sync_id=spec.sync_id, pipeline=spec.pipeline, resource=spec.resource, mode=spec.mode,
@@ -118,12 +144,15 @@ def run_sync(
     )
     clock = datetime.now(timezone.utc)
     try:
-        _load(warehouse, spec, table, read_pages(warehouse.spark, landing, one_per_file), started, limits, result)
+        _load(warehouse, spec, table, pages, started, limits, result, continuous)
         result.status = "success"
     except Exception as error:
-        result.status, result.error = "failed", str(error)[:2000]
-    result.duration_seconds = round((datetime.now(timezone.utc) - clock).total_seconds(), 2)
-    _finish(warehouse, spec, result)
+        result.status, result.error = "failed", str(error)
+    finally:
+        if result.status == "running":
+            result.status, result.error = "failed", "interrupted"
+        result.duration_seconds = round((datetime.now(timezone.utc) - clock).total_seconds(), 2)
+        _finish(warehouse, spec, result)
     if result.status == "success":
         _check(warehouse, spec, limits, started)
     return result
@@ -137,21 +166,22 @@ def _load(
     started: datetime,
     limits: Thresholds,
     result: SyncResult,
+    continuous: bool,
 ) -> None:
     spark = warehouse.spark
-    checkpoints = warehouse.checkpoints.read()
+    checkpoints = warehouse.checkpoints.of(spec.pipeline, spec.resource).read()
     cursor = load_checkpoint(checkpoints, spec.pipeline, spec.resource) if table.incremental else None
     # Without a checkpoint the first run has to take, and sweep, everything.
-    full = spec.mode == "full_refresh" or cursor is None
+    full = not continuous and (spec.mode == "full_refresh" or cursor is None)
     if spec.resource == "inventory_levels":
         products = warehouse.state(spec.pipeline, "products").read()
-        if variant_ids(products).isEmpty():
+        if variant_rows(products).isEmpty():
             return
 
     as_of = F.lit(started)
     records = explode_pages(pages, table)
     projected = project_records(records, table, spec.sync_id, as_of)
-    wanted = projected if full else read_incremental(projected, cursor, late_rows=spec.late_rows)
+    wanted = projected if full or continuous else read_incremental(projected, cursor, late_rows=spec.late_rows)
     # JSON is read once; counting and merging work on the typed copy.
     landed = warehouse.staging(spec.sync_id)
     wanted.write.mode("overwrite").parquet(landed)
@@ -165,7 +195,7 @@ def _load(
         top = top_position("_cursor_ts")
         measures += [F.unix_micros(top["ts"]).alias("top_micros"), top["id"].alias("top_id")]
     counts = rows.agg(*measures).first()
-    result.fetched_count, result.skipped_invalid = counts.fetched, counts.skipped
+    result.skipped_invalid = counts.skipped
     good = accepted(spark.read.parquet(landed))
     merged = warehouse.state(spec.pipeline, spec.resource).merge(
         good,
@@ -173,19 +203,20 @@ def _load(
         as_of,
         order=("updated_at", "_page", "_pos"),
         full_snapshot=full,
-        fetched=counts.accepted if table.guard_on_accepted else counts.fetched,
+        rejected=0 if table.guard_on_accepted else counts.skipped,
         max_delete_percent=limits.delete_max,
     )
-    result.upserted_count, result.soft_deleted_count = counts.accepted, merged.soft_deleted
+    # A key that was landed several times is one record.
+    result.upserted_count, result.soft_deleted_count = merged.upserted, merged.soft_deleted
+    result.fetched_count = merged.upserted + counts.skipped
     result.rows_before, result.rows_after = merged.rows_before, merged.rows_after
     result.sweep_aborted = merged.sweep_aborted
 
     if table.incremental and counts.top_micros is not None:
-        schema = "pipeline string, resource string, micros bigint, last_id bigint"
-        top = spark.createDataFrame(
-            [(spec.pipeline, spec.resource, counts.top_micros, counts.top_id)], schema
-        ).withColumn("last_updated_at", F.timestamp_micros("micros"))
-        warehouse.checkpoints.publish(merge_checkpoints(checkpoints, top, spec.sync_id, as_of))
+        top = spark.createDataFrame([(counts.top_micros, counts.top_id)], "micros bigint, last_id bigint")
+        top = top.withColumn("last_updated_at", F.timestamp_micros("micros"))
+        warehouse.checkpoints.save(spec.pipeline, spec.resource, top, spec.sync_id, as_of)
+    remove_folder(spark, landed)
 
 
 def _finish(warehouse: Warehouse, spec: SyncSpec, result: SyncResult) -> None:

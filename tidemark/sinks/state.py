@@ -17,6 +17,7 @@ from tidemark.model import Resource
 from tidemark.operators.merge import (
     active_rows, is_active, is_stale, latest_per_key, percent_lost, sweep, upsert,
 )
+from tidemark.scratch import remove_folder
 from tidemark.sinks.versions import VersionedTable, finished_versions
 
 _LIST_SCHEMA = "bucket int, folder string, row_count bigint, active_count bigint, buckets int, sync_id string"
@@ -60,17 +61,30 @@ class StateTable:
         as_of: Column,
         order: tuple[str, ...] = ("updated_at",),
         full_snapshot: bool = False,
-        fetched: int | None = None,
+        rejected: int = 0,
         max_delete_percent: float = 5.0,
         sweep_unmarked: bool = False,
     ) -> MergeResult:
         """Merge accepted rows; a full snapshot also sweeps the rows it lacks, if the guard agrees.
 
+        The guard compares what is stored with the keys that arrived, each counted once, and ``rejected``
+        records that were there but could not be used.
         The rows are stamped with this run, whatever they carried before, so that the sweep spares them.
         A ``sync_id`` that the newest version already holds is not merged again.
         """
+        claimed = self.versions.claim()
+        try:
+            return self._merge(
+                claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+            )
+        finally:
+            self.versions.release(claimed)
+
+    def _merge(
+        self, claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+    ) -> MergeResult:
         key = list(self.resource.key)
-        version = self.versions.version()
+        version = claimed - 1
         files = self._files(version)
         before = sum(f.active_count for f in files)
         if files and files[0].sync_id == sync_id:
@@ -101,9 +115,17 @@ class StateTable:
                 F.count_if(is_stale(sync_id, sweep_unmarked)).alias("stale"),
             ).first()
             active = counts.active + upserted
-            lost = percent_lost(active, upserted if fetched is None else fetched) if active else 0.0
+            lost = percent_lost(active, upserted + rejected) if active else 0.0
             allowed = lost <= max_delete_percent
             aborted = not allowed
+            if not allowed or not counts.stale:
+                # Nothing is swept: buckets without arriving rows stay as they are.
+                touched = set(arriving)
+                old = self._load([f for f in files if f.bucket in touched])
+        if not touched:
+            self._publish(files, "", touched, buckets, sync_id, claimed)
+            remove_folder(self.spark, staged_path)
+            return MergeResult(before, before, 0, 0, aborted)
 
         merged = upsert(old, staged, key)
         if sweeping:
@@ -113,11 +135,12 @@ class StateTable:
         merged.withColumn("_bucket", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy(
             "_bucket"
         ).parquet(f"{self.root}/{folder}")
-        self._publish(files, folder, touched, buckets, sync_id)
+        self._publish(files, folder, touched, buckets, sync_id, claimed)
+        remove_folder(self.spark, staged_path)
         after = sum(f.active_count for f in self._files(version + 1))
         return MergeResult(before, after, upserted, counts.stale if allowed else 0, aborted)
 
-    def _publish(self, files: list, folder: str, touched: set, buckets: int, sync_id: str) -> None:
+    def _publish(self, files: list, folder: str, touched: set, buckets: int, sync_id: str, claimed: int) -> None:
         kept = [
             (f.bucket, f.folder, f.row_count, f.active_count, buckets, sync_id)
             for f in files
@@ -139,7 +162,7 @@ class StateTable:
                     F.lit(sync_id).alias("sync_id"),
                 )
             )
-        self.versions.publish(listed)
+        self.versions.publish(listed, claimed)
 
     def expire(self, keep: int = 5) -> int:
         """Delete folders that none of the newest ``keep`` versions name; returns how many.

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.model import Retention
+from tidemark.operators.retention import expired_logs, keep_rows
 
-def append_rows(rows: DataFrame, path: str, day_of: str | None = None) -> None:
-    """Append to a table, partitioned by the day of ``day_of`` where that is given."""
+
+def append_rows(rows: DataFrame, path: str, day_of: str | None = None, by: tuple[str, ...] = ()) -> None:
+    """Append to a table, partitioned by the columns ``by``, or by the day of ``day_of`` where that is given."""
     if day_of is None:
-        rows.write.mode("append").parquet(path)
+        rows.write.mode("append").partitionBy(*by).parquet(path)
         return
     dated = rows.withColumn("log_date", F.to_date(day_of))
     dated.hint("rebalance", "log_date").write.mode("append").partitionBy("log_date").parquet(path)
@@ -32,11 +35,67 @@ def expired_days(rows: DataFrame, cutoff: date) -> DataFrame:
     return rows.select("log_date").filter(F.col("log_date") < F.lit(cutoff)).distinct()
 
 
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in another's place. Readers and writers of it must not be at work."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = Path(f"{path.rstrip('/')}.old")
+    fs.rename(Path(path), old)
+    fs.rename(Path(new), Path(path))
+    fs.delete(old, True)
+
+
+def retain_rows(rows: DataFrame, path: str, kept: DataFrame, by: tuple[str, ...] = ()) -> int:
+    """Rewrite an append-only table with ``kept``, some of its ``rows``; returns how many went.
+
+    Nothing is written if all stay.
+    """
+    gone = rows.count() - kept.count()
+    if gone:
+        new = f"{path.rstrip('/')}.new"
+        kept.write.mode("overwrite").partitionBy(*by).parquet(new)
+        _swap(rows.sparkSession, new, path)
+    return gone
+
+
+def retain_days(spark: SparkSession, path: str, as_of: datetime, keep: Retention = Retention()) -> dict[str, int]:
+    """Drop expired rows of a day-partitioned log table.
+
+    Days that are wholly older than every limit go as folders, unread. Of the others only days older than
+    some limit are looked at, and only those that hold expired rows are written anew.
+    """
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory()]
+    days = sorted(date.fromisoformat(n[9:]) for n in names if n.startswith("log_date=") and n[9:10].isdigit())
+    limits = [as_of - timedelta(days=d) for d in (keep.logs, keep.error_logs)]
+    gone = [d for d in days if d < min(limits).date()]
+    for day in gone:
+        fs.delete(Path(f"{path}/log_date={day}"), True)
+    border = [d for d in days if d not in set(gone) and d <= max(limits).date()]
+    result = {"days": len(gone), "rows": 0}
+    if not border:
+        return result
+    expired = expired_logs(F.lit(as_of), keep)
+    any_expired: Column = F.lit(False)
+    for column in expired.values():
+        any_expired = any_expired | F.coalesce(column, F.lit(False))
+    rows = read_days(spark, path, border[0], border[-1])
+    counts = rows.filter(any_expired).groupBy("log_date").count().collect()
+    for found in counts:
+        folder = f"{path}/log_date={found.log_date}"
+        new = f"{path}/_new/log_date={found.log_date}"
+        keep_rows(spark.read.parquet(folder), expired).write.mode("overwrite").parquet(new)
+        _swap(spark, new, folder)
+        result["rows"] += found["count"]
+    return result
+
+
 def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str], partitions: int = 8) -> None:
     """Load a relational staging table; its own MERGE then applies the rows.
 
     Needs the database's driver on the class path. ``partitions`` bounds the connections.
     """
-    rows.coalesce(partitions).write.mode("overwrite").option("truncate", True).jdbc(
+    rows.write.mode("overwrite").option("truncate", True).option("numPartitions", partitions).jdbc(
         url, table, properties=properties
     )

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.sync import Warehouse
-from tidemark.model import resource
-from tidemark.operators.cursor import merge_checkpoints, watermark
-from tidemark.sources.pages import accepted, explode_pages, project_records, stream_pages
+from tidemark.model import Thresholds
+from tidemark.plans.sync import SyncSpec, Warehouse, record_run
+from tidemark.sources.pages import stream_pages
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint folder: another folder is another stream."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads("".join(r.value for r in lines))["id"]
 
 
 def start_sync_stream(
@@ -23,29 +28,20 @@ def start_sync_stream(
     files_per_batch: int = 1000,
     one_per_file: bool = True,
     available_now: bool = True,
+    limits: Thresholds = Thresholds(),
 ) -> StreamingQuery:
-    """Merge new page files as they land. Every batch is one version of the state table.
+    """Merge new page files as they land. Every batch is a run of the ledger and one version of the state table.
 
-    The batch number is the run's id: a batch that is repeated after a failure is merged once.
+    A run's id is that of the stream and of the batch: a batch that is repeated after a failure is merged once,
+    and a second stream into the same table is never taken for the first. A batch that fails stops the stream.
     """
-    table = resource(name)
-    state = warehouse.state(pipeline, name)
 
     def merge_batch(pages: DataFrame, batch: int) -> None:
-        sync_id = f"{pipeline}-{name}-stream-{batch}"
-        as_of = F.lit(datetime.now(timezone.utc))
-        rows = project_records(explode_pages(pages, table), table, sync_id, as_of)
-        landed = warehouse.staging(sync_id)
-        rows.write.mode("overwrite").parquet(landed)
-        # The stream's own session runs without adaptive execution, the warehouse's with it.
-        good = accepted(warehouse.spark.read.parquet(landed))
-        state.merge(good, sync_id, as_of, order=("updated_at", "_page", "_pos"))
-        top = watermark(good).select(
-            F.lit(pipeline).alias("pipeline"), F.lit(name).alias("resource"), "last_updated_at", "last_id"
-        )
-        if table.incremental and not top.isEmpty():
-            stored = warehouse.checkpoints
-            stored.publish(merge_checkpoints(stored.read(), top, sync_id, as_of))
+        sync_id = f"{pipeline}-{name}-{stream_id(warehouse.spark, checkpoint)}-{batch}"
+        spec = SyncSpec(pipeline, name, "incremental", "stream", sync_id)
+        result = record_run(warehouse, spec, pages, datetime.now(timezone.utc), limits, continuous=True)
+        if result.status != "success":
+            raise RuntimeError(result.error)
 
     writer = (
         stream_pages(warehouse.spark, landing, files_per_batch, one_per_file)
