@@ -57,5 +57,17 @@ def test_no_query_multiplies_tables(spark, name):
 
 @pytest.mark.parametrize("shared, start", [("/shared/cp/", "/shared/cp/x-"), (None, "/")])
 def test_scratch_folder_is_the_sessions(shared, start):
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default))
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="local[2]"),
+    )
     assert scratch_folder(session, "x").startswith(start) and scratch_folder(session, "x") != scratch_folder(session, "x")
+
+
+def test_scratch_folder_honours_the_contexts_folder_and_refuses_local_ones_on_clusters():
+    conf = SimpleNamespace(get=lambda key, default: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: "hdfs://x/cp", master="yarn")
+    assert scratch_folder(SimpleNamespace(conf=conf, sparkContext=context), "y").startswith("hdfs://x/cp/y-")
+    context.getCheckpointDir = lambda: None
+    with pytest.raises(ValueError, match="share"):
+        scratch_folder(SimpleNamespace(conf=conf, sparkContext=context), "y")

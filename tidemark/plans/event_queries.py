@@ -162,9 +162,8 @@ def payload_cap(spark, folder):
 
 
 def _summary_with_time(spark, folder):
-    runs = ledger(spark, folder)
-    summary = rules.summarize(rules.evaluate_rules(runs))
-    return summary.join(runs.select("sync_id", F.col("finished_at").alias("at")), "sync_id")
+    summary = rules.summarize(rules.evaluate_rules(ledger(spark, folder)))
+    return summary.withColumnRenamed("finished_at", "at")
 
 
 @query(
@@ -239,10 +238,14 @@ def alert_dedup(spark, folder):
 
 @query("stream_alert_dedup", _SENT)
 def stream_alert_dedup(spark, folder):
-    """The same on a stream of alert files, here taken as one batch."""
+    """The same on a stream of alert files that land one after another, a batch for each."""
     work = scratch_folder(spark, "alert-stream")
-    _alerts(spark, folder).write.parquet(f"{work}/in")
-    arriving = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
+    rows = _alerts(spark, folder)
+    for first, last in (("1900-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "9999-01-01")):
+        days = (F.col("at") >= at(first)) & (F.col("at") < at(last))
+        rows.filter(days).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    arriving = reader.parquet(f"{work}/in")
     job = (
         dedupe_alert_stream(arriving)
         .writeStream.format("parquet")

@@ -342,7 +342,7 @@ def validation_results(spark, folder):
 )
 def validation_summary(spark, folder):
     summary = rules.summarize(_results(spark, folder))
-    return summary.withColumn("failed_rules", F.array_join("failed_rules", ","))
+    return summary.withColumn("failed_rules", F.array_join("failed_rules", ",")).drop("finished_at")
 
 
 @query(

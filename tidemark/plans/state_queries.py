@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cursor import merge_checkpoints, read_checkpoint, replay_cursor, watermark
 from tidemark.operators.merge import (
-    count_active, guarded_sweep, keys_missing, latest_per_key, sweep, upsert,
+    guarded_sweep, is_active, keys_missing, latest_per_key, sweep, upsert,
 )
 from tidemark.plans.inputs import AS_OF, AS_OF_TEXT, STATE, arriving_orders, at, order_rows, stored_orders, table
 from tidemark.plans.registry import query
@@ -194,14 +194,14 @@ def upsert_composite_key(spark, folder):
       (SELECT count(*) FROM merged) AS total""",
 )
 def upsert_stats(spark, folder):
-    stored, arriving = stored_orders(spark, folder), arriving_orders(spark, folder)
-    merged = upsert(stored, arriving, ["id"], ["updated_at"])
-    total = merged.agg(
-        F.count_if(F.col("_sync_id") == "c").alias("upserted"), F.count("*").alias("total")
+    # One row per key of either side says all there is to count.
+    stored = stored_orders(spark, folder).select("id", F.lit(True).alias("_old"))
+    arriving = arriving_orders(spark, folder).groupBy("id").agg(F.count("*").alias("_n"))
+    both, fresh = F.col("_old").isNotNull() & F.col("_n").isNotNull(), F.col("_n").isNotNull()
+    return stored.join(arriving, "id", "full_outer").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("fetched"), F.count_if(fresh).alias("upserted"),
+        F.count_if(both).alias("replaced"), F.count("*").alias("total"),
     )
-    counts = total.withColumn("fetched", arriving.agg(F.count("*")).scalar())
-    old = stored.agg(F.count("*")).scalar()
-    return counts.withColumn("replaced", old + F.col("upserted") - F.col("total"))
 
 
 @query(
@@ -273,5 +273,4 @@ def keys_missing_query(spark, folder):
 )
 def active_count(spark, folder):
     merged = upsert_single_key(spark, folder)
-    counts = count_active(merged)
-    return counts.withColumn("all_rows", merged.agg(F.count("*")).scalar())
+    return merged.agg(F.count_if(is_active(merged)).alias("active_rows"), F.count("*").alias("all_rows"))
