@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.model import RESOURCES
 from tidemark.operators.cursor import load_checkpoint
 from tidemark.plans import sync as S
+from tidemark.sinks.state import MOST_LAYERS as S_LAYERS
 from tidemark.sinks.state import StateTable
 from tidemark.sinks.tables import append_rows, expired_days, read_days
 from tidemark.sinks.versions import VersionedTable
@@ -152,10 +153,10 @@ def test_crash_between_state_and_checkpoint(shop, monkeypatch):
     shop.sync([order(1, 5)])
     publish = VersionedTable.publish
 
-    def crash(self, rows):
-        if self.path.endswith("checkpoints"):
+    def crash(self, rows, claimed=None):
+        if "/checkpoints/" in self.path:
             raise RuntimeError("killed")
-        return publish(self, rows)
+        return publish(self, rows, claimed)
 
     monkeypatch.setattr(VersionedTable, "publish", crash)
     assert shop.sync([order(2, 9)]).status == "failed"
@@ -239,3 +240,55 @@ def test_day_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(log_date" in days._jdf.queryExecution().executedPlan().toString()
     gone = expired_days(read_days(spark, str(tmp_path / "logs")), datetime(2026, 4, 3).date())
     assert gone.count() == 2
+
+
+def test_small_merges_are_layers(shop):
+    state = shop.warehouse.state("shop", "orders")
+    shop.sync([order(n) for n in range(400)])
+    expected = {n: "" for n in range(400)}
+    seen = set()
+    for step in range(14):
+        changed = [order(n, 10 + step, note=f"s{step}") for n in (step, 50 + step, 399, 400 + step)]
+        result = shop.sync(changed)
+        expected |= {r["id"]: f"s{step}" for r in changed}
+        assert (result.upserted_count, result.rows_after) == (4, len(expected))
+        files = state._files(state.versions.version())
+        seen.add(max(sum(f.bucket == b for f in files) for b in range(4)))
+        assert sum(f.active_count for f in files) == len(expected)
+    rows = shop.rows()
+    assert {n: json.loads(r._raw).get("note", "") for n, r in rows.items()} == expected
+    # Layers grow, and are compacted before they are too many.
+    assert 2 in seen and max(seen) <= S_LAYERS
+    assert shop.sync([order(n, 100) for n in range(100, 414)], mode="full_refresh").sweep_aborted
+    swept = shop.sync([order(n, 101) for n in range(5, 414)], mode="full_refresh")
+    assert (swept.soft_deleted_count, swept.rows_after) == (5, 409)
+    back = shop.sync([order(2, 102)])
+    assert back.rows_after == 410 and shop.rows()[2]._deleted_at is None
+
+
+def test_a_second_writer_fails_and_changes_nothing(shop):
+    shop.sync([order(1)])
+    state = shop.warehouse.state("shop", "orders")
+    claimed = state.versions.claim()
+    failed = shop.sync([order(2, 5)])
+    assert failed.status == "failed" and "is being written" in failed.error
+    assert sorted(shop.rows()) == [1] and shop.cursor().id == 1
+    state.versions.release(claimed)
+    assert shop.sync([order(2, 5)]).status == "success" and sorted(shop.rows()) == [1, 2]
+    assert {r.sync_id: r.status for r in shop.warehouse.ledger().collect()} == {
+        "run-1": "success", "run-2": "failed", "run-3": "success"
+    }
+
+
+def test_big_counters(shop):
+    shop.warehouse.add_entry(sync_id="big", pipeline="p", resource="orders", status="success", fetched_count=3_000_000_000)
+    assert shop.warehouse.ledger("p", "orders").first().fetched_count == 3_000_000_000
+
+
+def test_retention_of_stored_runs_and_results(shop):
+    shop.sync([order(1)])
+    shop.sync([order(2, 5)])
+    later = START + timedelta(hours=1, days=90, seconds=1)
+    assert shop.warehouse.retain(later) == {"runs": 2, "results": 8}
+    assert [r.sync_id for r in shop.warehouse.ledger().collect()] == ["run-2"]
+    assert shop.warehouse.retain(later) == {"runs": 0, "results": 0}

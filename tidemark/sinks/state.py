@@ -1,8 +1,10 @@
-"""State tables on plain Parquet: merged by key, published as a whole, rewritten only where touched.
+"""State tables on plain Parquet: merged by key, published as a whole, written where and as far as touched.
 
 Rows live in hash buckets of their key. A version is a small list that names, for every bucket, the
-folder with its rows; a merge writes new folders for the buckets it touches, then publishes the next
-list. Files that a version names are never changed, so readers and restarted writers see one version.
+folders with its rows: a base, and on top of it layers with the rows of later merges, of which the newest
+per key counts. A merge writes what arrives as one more layer; a bucket whose layers have grown to a share of
+its base, or in number, is written as a new base instead. Then the next list is published. Files that a version
+names are never changed, so readers and restarted writers see one version.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from tidemark.operators.merge import (
 from tidemark.scratch import remove_folder
 from tidemark.sinks.versions import VersionedTable, finished_versions
 
+#: A bucket is compacted when its layers reach this part of its base, or this number.
+LAYER_SHARE, MOST_LAYERS = 0.25, 8
+
 _LIST_SCHEMA = "bucket int, folder string, row_count bigint, active_count bigint, buckets int, sync_id string"
 
 
@@ -41,14 +46,29 @@ class StateTable:
         self._buckets = buckets
 
     def _files(self, version: int) -> list:
-        """One row per bucket that has rows: bounded by the number of buckets."""
+        """One row per bucket and layer: bounded by the number of buckets."""
         return self.versions.read(version).collect() if version else []
 
-    def _load(self, files: list) -> DataFrame:
+    def _load(self, files: list, columns: list[str] | None = None) -> DataFrame:
+        """The rows that the folders make up; only buckets with layers are reduced to the newest per key."""
         schema = self.resource.state_schema
-        if not files:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{f.folder}" for f in files))
+        columns = columns or schema.names
+        layers: dict[int, int] = {}
+        for f in files:
+            layers[f.bucket] = layers.get(f.bucket, 0) + 1
+        single = [f"{self.root}/{f.folder}" for f in files if layers[f.bucket] == 1]
+        layered = [f"{self.root}/{f.folder}" for f in files if layers[f.bucket] > 1]
+        rows = self.spark.createDataFrame([], schema).select(*columns)
+        if single:
+            rows = self.spark.read.schema(schema).parquet(*single).select(*columns)
+        if layered:
+            key = list(self.resource.key)
+            layer = F.regexp_extract(F.col("_metadata.file_path"), r"/data/v=(\d+)/", 1).cast("bigint")
+            stacked = self.spark.read.schema(schema).parquet(*layered)
+            stacked = stacked.select(*dict.fromkeys([*columns, *key]), layer.alias("_layer"))
+            newest = latest_per_key(stacked, key, ["_layer"]).select(*columns)
+            rows = rows.unionByName(newest) if single else newest
+        return rows
 
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of the newest or of a given version."""
@@ -127,6 +147,17 @@ class StateTable:
             remove_folder(self.spark, staged_path)
             return MergeResult(before, before, 0, 0, aborted)
 
+        on_top = set() if allowed and counts.stale else self._on_top(files, arriving)
+        gained = 0
+        if on_top:
+            below = [f for f in files if f.bucket in on_top]
+            extra = ["_deleted_at"] if "_deleted_at" in self.resource.state_schema.names else []
+            known = self._load(below, [*key, *extra])
+            gained = {b: n for b, n in arriving.items() if b in on_top}
+            met = known.filter(is_active(known)).join(staged.select(*key, "_bucket"), key).groupBy("_bucket").count()
+            for found in met.collect():
+                gained[found["_bucket"]] -= found["count"]
+            old = self._load([f for f in files if f.bucket in touched - on_top])
         merged = upsert(old, staged, key)
         if sweeping:
             merged = sweep(merged, sync_id, as_of, sweep_unmarked, F.lit(allowed))
@@ -135,16 +166,32 @@ class StateTable:
         merged.withColumn("_bucket", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy(
             "_bucket"
         ).parquet(f"{self.root}/{folder}")
-        self._publish(files, folder, touched, buckets, sync_id, claimed)
+        self._publish(files, folder, touched, buckets, sync_id, claimed, gained or {})
         remove_folder(self.spark, staged_path)
         after = sum(f.active_count for f in self._files(version + 1))
         return MergeResult(before, after, upserted, counts.stale if allowed else 0, aborted)
 
-    def _publish(self, files: list, folder: str, touched: set, buckets: int, sync_id: str, claimed: int) -> None:
+    def _on_top(self, files: list, arriving: dict[int, int]) -> set[int]:
+        """Buckets to which the arriving rows are added as a layer; the others are written anew."""
+        sizes: dict[int, list[int]] = {}
+        for f in sorted(files, key=lambda f: int(f.folder.split("/")[1][2:])):
+            sizes.setdefault(f.bucket, []).append(f.row_count)
+        return {
+            b for b, n in arriving.items()
+            if b in sizes and len(sizes[b]) < MOST_LAYERS and sum(sizes[b][1:]) + n < LAYER_SHARE * sizes[b][0]
+        }
+
+    def _publish(
+        self, files: list, folder: str, touched: set, buckets: int, sync_id: str, claimed: int,
+        gained: dict[int, int] | None = None,
+    ) -> None:
+        """List what stays and what was written; ``gained`` has the buckets that got a layer, and by how many
+        active rows each has grown."""
+        gained = gained or {}
         kept = [
             (f.bucket, f.folder, f.row_count, f.active_count, buckets, sync_id)
             for f in files
-            if f.bucket not in touched
+            if f.bucket not in touched or f.bucket in gained
         ]
         listed = self.spark.createDataFrame(kept, _LIST_SCHEMA)
         if touched:
@@ -153,6 +200,11 @@ class StateTable:
             counted = written.groupBy(F.col("_bucket").alias("bucket")).agg(
                 F.count("*").alias("row_count"), F.count_if(is_active(written)).alias("active_count")
             )
+            if gained:
+                grown = self.spark.createDataFrame(list(gained.items()), "bucket int, _grown bigint")
+                counted = counted.join(grown, "bucket", "left").withColumn(
+                    "active_count", F.coalesce("_grown", "active_count")
+                )
             listed = listed.unionByName(
                 counted.select(
                     "bucket",
