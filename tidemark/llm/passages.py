@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import WORD, words
+from tidemark.llm.text import WORD, word_bytes, words
 from tidemark.scratch import stored
 
 WINDOW = 35
@@ -48,9 +48,9 @@ Render = Callable[[str, list[str], list[tuple[int, int]]], tuple]
 
 class WordHashes:
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
 
-    def __call__(self, found: list[str]) -> np.ndarray:
+    def __call__(self, found: list[bytes]) -> np.ndarray:
         known, digest = self.known, xxhash.xxh3_64_intdigest
         if len(known) > REMEMBERED:
             known.clear()
@@ -94,7 +94,7 @@ def _phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
             for key, text in zip(batch["_key"], batch["text"]):
-                found = words(text)
+                found = word_bytes(text)
                 if len(found) >= WINDOW:
                     places, phrases = standing(hashed(found))
                     at = np.unique(places)
@@ -111,7 +111,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
             for key, text, recurring in zip(batch["_key"], batch["text"], batch["recurring"]):
-                hashes = hashed(words(text))
+                hashes = hashed(word_bytes(text))
                 places, _ = standing(hashes)
                 at = np.flatnonzero(np.isin(places, np.asarray(recurring)))
                 parts.append((np.full(len(at), key), run_hashes(hashes, WINDOW)[at].view(np.int64), at))

@@ -46,7 +46,7 @@ STATISTICS = (
 SYMBOL_BYTES = np.frombuffer(b"#*$%&<>{}[]=~^\\/_@", dtype=np.uint8)
 
 
-def statistics(text: str, words: list[str], counts: Counter, n_chars: float) -> list[float]:
+def statistics(text: str, words: list[bytes], counts: Counter, n_chars: float) -> list[float]:
     """Structure of a text, each value of order one; zeros for an empty one (``STATISTICS`` order)."""
     if not words:
         return [0.0] * (len(STATISTICS) - 2) + [math.log1p(max(n_chars, 0.0)) / 5, 0.0]
@@ -78,7 +78,7 @@ class Features:
     """Sparse inputs of a text: hashed words by damped count, scaled to length one, then statistics."""
 
     def __init__(self):
-        self.places: dict[str, int] = {}
+        self.places: dict[bytes, int] = {}
 
     def __call__(self, text: str | None, n_chars: float | None) -> tuple[np.ndarray, np.ndarray]:
         text = text or ""
@@ -91,7 +91,7 @@ class Features:
         for i, word in enumerate(counts):
             place = places.get(word)
             if place is None:
-                place = places[word] = zlib.crc32(word.encode("utf-8", "replace")) % WORD_SPACE
+                place = places[word] = zlib.crc32(word) % WORD_SPACE
             at[i] = place
         weight = 1.0 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
         if len(weight):

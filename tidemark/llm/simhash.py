@@ -51,9 +51,9 @@ def fingerprint(text: str | None) -> int:
     if not words:
         return 0
     if len(words) < SHINGLE:
-        shingles = [" ".join(words)]
+        shingles = [b" ".join(words)]
     else:
-        shingles = [f"{a} {b} {c}" for a, b, c in zip(words, words[1:], words[2:])]
+        shingles = [b"%b %b %b" % three for three in zip(words, words[1:], words[2:])]
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8", count=len(shingles))
     counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LOWERED = str.maketrans(UPPER, LOWER)
 
 
-def lowered_words(text: str | None) -> list[str]:
-    """Words of a text after lower-casing A-Z only; none for a null or empty text."""
-    return WORD.findall(text.translate(LOWERED)) if text else []
+def lowered_words(text: str | None) -> list[bytes]:
+    """Words of a text in UTF-8 after lower-casing A-Z only; none for a null or empty text.
+
+    Bytes are lower-cased and split by exactly these letters and these six characters.
+    """
+    return text.encode("utf-8").lower().split() if text else []
+
+
+def word_bytes(text: str | None) -> list[bytes]:
+    """Words of a text in UTF-8."""
+    return text.encode("utf-8").split() if text else []
 
 
 def words(text: str | None) -> list[str]:
