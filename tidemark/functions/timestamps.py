@@ -54,11 +54,6 @@ def parse_since(text: str) -> timedelta | None:
         return None
 
 
-def age_micros(later: Column, earlier: Column) -> Column:
-    """Microseconds between two timestamps of the same kind."""
-    return F.timestamp_diff("MICROSECOND", earlier, later)
-
-
 def uptime_text(seconds: Column) -> Column:
     """``3d 4h``, ``4h 5m`` or ``5m``."""
     s = seconds.cast("bigint")

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # Defaults a user of the data model relies on.
-PAGE_SIZE = 250
 OVERLAP_MINUTES = 5
 ID_BATCH_SIZE = 200
 LOOKBACK_RUNS = 7
@@ -119,7 +118,3 @@ RESULT_SCHEMA = (
     "sync_id string, pipeline string, resource string, rule string, status string, "
     "details string, created_at timestamp"
 )
-LOG_SCHEMA = (
-    "timestamp timestamp, level string, event string, sync_id string, pipeline string, "
-    "resource string, message string, payload string, exc_info string"
-)
