@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import WORD
 
 #: Chunks a task remembers from batch to batch; beyond it the memory starts anew. A matter of speed only.
-REMEMBERED = 200_000
-#: Documents that are encoded and handed on together.
-AT_ONCE = 500
+REMEMBERED = 150_000
+#: Documents that are numbered and learned from together, and documents that are handed on together.
+LEARN, AT_ONCE = 2500, 500
 VOCABULARY = "word_bpe_49k.json"
 #: Up to here the splitting pattern of the file and that of the ``regex`` module agree on what is a letter; texts
 #: with later letters are split by the library that the file is made for.
@@ -265,7 +265,8 @@ def encode_texts(
         vocab = vocabulary(path)
         encoder = Encoder(vocab)
         for batch in batches:
-            encoded = encoder.encode(batch.column("_text").to_pylist())
+            parts = range(0, batch.num_rows, LEARN)
+            encoded = (ids for i in parts for ids in encoder.encode(batch.column("_text").slice(i, LEARN).to_pylist()))
             for at in range(0, batch.num_rows, AT_ONCE):
                 ids = list(islice(encoded, min(AT_ONCE, batch.num_rows - at)))
                 out = _passed(batch, keep, at) | {"ids": pa.array(ids, type=pa.list_(pa.int32()))}
