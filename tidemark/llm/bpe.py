@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import WORD
 
 #: Chunks a task remembers from batch to batch; beyond it the memory starts anew. A matter of speed only.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 #: Documents that are numbered and learned from together, and documents that are handed on together.
-LEARN, AT_ONCE = 2500, 500
+LEARN, AT_ONCE = 1000, 250
 VOCABULARY = "word_bpe_49k.json"
 #: Up to here the splitting pattern of the file and that of the ``regex`` module agree on what is a letter; texts
 #: with later letters are split by the library that the file is made for.
@@ -273,6 +273,9 @@ def encode_texts(
                 if decoded:
                     out["decoded"] = pa.array([decode(vocab, i.tolist()) for i in ids], type=pa.string())
                 yield pa.RecordBatch.from_pydict(out)
+        # Workers live on for other tasks: what this one needed goes back.
+        encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(
         made, ", ".join([*columns, "ids array<int>", *(["decoded string"] if decoded else [])])

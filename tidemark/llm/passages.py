@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
@@ -37,9 +38,9 @@ from tidemark.scratch import stored
 WINDOW = 35
 PHRASE = 8
 #: Words of the documents of one shard, a bound of an automaton's memory; one longer document is a shard.
-SHARD_WORDS = 150_000
+SHARD_WORDS = 100_000
 #: Words whose hashes a task remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 #: Gives the wanted columns of a document from its text and the places (start, end) of words that go.
@@ -102,6 +103,7 @@ def _phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if parts:
                 key, phrase, at = (np.concatenate(x) for x in zip(*parts))
                 yield pd.DataFrame({"phrase": phrase, "_key": key, "at": at.astype(np.int32)})
+    pa.default_memory_pool().release_unused()
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,6 +120,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if parts:
                 key, window, at = (np.concatenate(x) for x in zip(*parts))
                 yield pd.DataFrame({"window": window, "_key": key, "at": at.astype(np.int32)})
+    pa.default_memory_pool().release_unused()
 
 
 def runs(starts: np.ndarray) -> list[tuple[int, int]]:

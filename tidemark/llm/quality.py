@@ -36,7 +36,7 @@ EPOCHS = 12
 #: A document is good from this score on.
 ACCEPT = 0.7
 #: Words whose places a task remembers; beyond it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 STATISTICS = (
     "log_words", "mean_word", "longest_word", "distinct_share", "top_word_share", "symbols", "digits", "capitals",
