@@ -210,6 +210,40 @@ def test_pivot_index_against_brute_force(spark, block):
     assert sum((found & expected).values()) >= 0.95 * len(rows)
 
 
+def third_of_near_copies(count, seed):
+    """Vectors of 64 numbers, a third of them distinct near copies around one centre, and which those are."""
+    rng = np.random.default_rng(seed)
+    vectors, dense = rng.normal(size=(count, 64)), np.arange(count) % 3 == 0
+    vectors[dense] = rng.normal(size=64) + rng.normal(scale=0.17, size=(dense.sum(), 64))
+    return vectors.astype(np.float32), dense
+
+
+@pytest.mark.parametrize("points", [1000, 4096])
+def test_members_of_a_dense_group_name_the_same_points(points):
+    vectors, dense = third_of_near_copies(4 * points, points)
+    index = pivots.Pivots(list(vectors), points)
+    rng = np.random.default_rng(1)
+    single = pivots.unit(vectors[~dense][:1000])
+    near = pivots.unit(single + rng.normal(scale=0.28 / 8, size=single.shape))
+    few = pivots.unit(vectors[dense][:1000])
+    for a, b in ((few[:-1], few[1:]), (single, near)):
+        close = (a * b).sum(axis=1) >= pivots.NEAR
+        share = (index.nearest(a)[:, :, None] == index.nearest(b)[:, None, :]).any(axis=(1, 2))
+        assert close.sum() > 500 and share[close].mean() >= 0.99
+    assert len(index.of(64)) == points
+
+
+def test_dense_group_is_found_among_many_points(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "LEAST_PIVOTS", 1000)
+    vectors, dense = third_of_near_copies(3000, 8)
+    unit = pivots.unit(vectors)
+    links = np.triu(unit @ unit.T >= pivots.NEAR, 1).sum()
+    rows = [(i, v.tolist(), None) for i, v in enumerate(vectors)]
+    got = pivots.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+    assert links > 400_000 and 0.99 * 2 * links <= sum(r.n_links for r in got) <= 2 * links
+    assert {r.component_id for r in got if dense[r.vec_id]} == {0}
+
+
 def test_empty_tables(spark):
     nothing = empty(spark)
     assert simhash.near_duplicates(nothing).count() == 0

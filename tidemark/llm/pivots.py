@@ -1,13 +1,14 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 A vector is described by its ``PREFIX`` nearest reference points, nearest first. Inverted lists hold, per reference
-point, the vectors that name it. Two vectors that share at least ``SHARED`` of the points they name are candidates;
-they meet in the list of the least point they share, and only there, where their cosine is taken in double
+point, the vectors that name it. Two vectors that share any of the points they name are candidates;
+they are counted in the list of the least point they share, and only there, where their cosine is taken in double
 precision. Found pairs are counted and reduced to a spanning forest per list, never listed.
 
-Equal vectors are one entry with a count. The reference points are vectors of the data, a sample by hash of at
-most ``MOST_PIVOTS``; their number grows as the square root of the table, so lists grow no faster. A list
-longer than ``BLOCK`` is cut into blocks by hash, and each pair of blocks is a task of its own: nothing is
+Equal vectors are one entry with a count. The reference points are vectors of the data, at most
+``MOST_PIVOTS``, whose number grows as the square root of the table. They are taken from a sample by hash so that no
+two are nearer than a cosine of ``APART``, the least of its values that leaves enough of them: however dense a group of
+near copies is, it holds few points of its own, and its members name the same ones. A list longer than ``BLOCK`` is cut into blocks by hash, and each pair of blocks is a task of its own: nothing is
 left out of a long list. Recall against brute force is measured in the tests.
 
 Null vectors, zero vectors, and vectors with null or non-finite components link with nothing: no links, their own
@@ -30,7 +31,11 @@ from tidemark.llm.simhash import spanning_forest
 from tidemark.scratch import stored
 
 NEAR = 0.95
-PREFIX, SHARED = 8, 2
+PREFIX = 8
+#: Cosines below which reference points lie apart; a wider one is taken where a narrower leaves too few points.
+APART = (0.5, 0.7, 0.85)
+#: Vectors of the sample per reference point.
+SAMPLED = 4
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 2048
 CHUNK = 512
@@ -43,16 +48,40 @@ def unit(rows) -> np.ndarray:
     return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
+def apart(vectors: np.ndarray, most: float, count: int) -> np.ndarray:
+    """In order, the vectors whose cosine to all taken before is below ``most``, up to ``count``."""
+    taken, known = np.empty((count, vectors.shape[1])), 0
+    for begin in range(0, len(vectors), CHUNK):
+        some = vectors[begin:begin + CHUNK]
+        if known:
+            some = some[(some @ taken[:known].T).max(axis=1) < most]
+        likeness = some @ some.T
+        kept: list[int] = []
+        for at in range(len(some)):
+            if not (likeness[at, kept] >= most).any():
+                kept.append(at)
+        kept = kept[:count - known]
+        taken[known:known + len(kept)] = some[kept]
+        known += len(kept)
+        if known == count:
+            break
+    return taken[:known]
+
+
 class Pivots:
     """Reference points by vector length; lengths outside of the sample get fixed random directions."""
 
-    def __init__(self, sample: list, count: int):
+    def __init__(self, sample, count: int):
         self.count, self.points = count, {}
         by_length: dict[int, list] = {}
         for vector in sample:
             by_length.setdefault(len(vector), []).append(vector)
         for length, vectors in by_length.items():
-            self.points[length] = np.unique(unit(vectors), axis=0)
+            units = unit(vectors)
+            for most in APART:
+                self.points[length] = apart(units, most, count)
+                if len(self.points[length]) == count:
+                    break
 
     def of(self, length: int) -> np.ndarray:
         if length not in self.points:
@@ -93,16 +122,11 @@ def links_in_list(group: pd.DataFrame) -> pd.DataFrame:
     nodes, copies, block = (group[c].to_numpy() for c in ("node", "copies", "block"))
     named = np.stack(group["named"].to_numpy())
     vectors = unit(group["embedding"])
-    known, spot = np.unique(named, return_inverse=True)
-    names = np.zeros((len(nodes), len(known)), dtype=np.float32)
-    names[np.arange(len(nodes))[:, None], spot.reshape(named.shape)] = 1.0
-    enough = min(SHARED, named.shape[1])
     near = np.zeros((len(nodes), len(nodes)), dtype=bool)
     gained = np.zeros(len(nodes), dtype=np.int64)
     for at in range(0, len(nodes), CHUNK):
         some = slice(at, at + CHUNK)
-        close = names[some] @ names.T >= enough - 0.5
-        close &= vectors[some] @ vectors.T >= NEAR
+        close = vectors[some] @ vectors.T >= NEAR
         if low == high:
             close &= np.arange(len(nodes))[None, :] > np.arange(len(nodes))[some][:, None]
         else:
@@ -141,7 +165,7 @@ def near_duplicates(vectors: DataFrame, block: int = BLOCK, most_pivots: int = M
     valid = rows.filter(F.col("node").isNotNull())
     count = valid.count()
     wanted = int(min(most_pivots, max(LEAST_PIVOTS, 2 * math.sqrt(count))))
-    sample = [r.embedding for r in valid.orderBy("node").limit(wanted).collect()]
+    sample = valid.orderBy("node").limit(SAMPLED * wanted).select("embedding").toArrow()["embedding"].to_pandas()
     distinct = valid.groupBy("node").agg(
         F.first("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("first_id")
     )
