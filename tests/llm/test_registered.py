@@ -26,6 +26,14 @@ def test_all_are_registered():
     assert "pipeline" in QUERIES
 
 
+@pytest.mark.parametrize("labels", [[], [(i, None, 0) for i in range(100, 120)]])
+def test_pipeline_keeps_all_without_usable_labels(spark, tmp_path, labels):
+    rows = odd_rows() + more_rows(100, 20)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_classifier(spark, documents(spark, rows), str(tmp_path))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in rows)
+
+
 def test_pipeline(spark, tmp_path):
     rows = odd_rows() + more_rows(100, 60) + [(200 + i, *more_rows(100, 1)[0][1:]) for i in range(3)]
     labels = [(i, 1, 0) for i in range(100, 150)]

@@ -110,6 +110,11 @@ class Machine:
     mean: np.ndarray
     scale: np.ndarray
 
+    @property
+    def learned(self) -> bool:
+        """Whether it was fitted on any row: fitting draws the factors, which are zero before."""
+        return bool(self.factors.any())
+
     def standardised(self, index: np.ndarray, value: np.ndarray) -> np.ndarray:
         value = value.copy()
         value[-len(STATISTICS):] = np.clip((value[-len(STATISTICS):] - self.mean) / self.scale, -4, 4)
