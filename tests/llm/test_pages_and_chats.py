@@ -51,6 +51,18 @@ def test_constant_text_is_template(spark):
     assert all(got[200 + i] == "A copy" for i in range(12))
 
 
+def test_empty_and_truncated_pages_leave_the_template(spark):
+    body = "<div class=top>Welcome to us</div>{1}<div class=story><p>{0}</p></div><div class=low>All rights</div>"
+    texts = {i: " ".join(prose(500 + i, 60).split()) for i in range(20)}
+    rows = [(i, "http://g.example/", page(i, body.format(t, "<div class=hint>Strike today</div>" if i % 2 else ""))) for i, t in texts.items()]
+    cut = page(50, body.format("Cut text", "")).partition("<div class=low>")[0]
+    rows += [(50, "http://g.example/", cut), (51, "http://g.example/", ""), (52, "http://g.example/", None)]
+    rows += [(53, "http://g.example/", "<html><body><h1>502 Bad Gateway</h1></body></html>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {i: got[i] for i in texts} == texts
+    assert got[50] == "Cut text" and got[51] == got[52] == "" and got[53] == "502 Bad Gateway"
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, None, ""), (3, "http://f/", "plain &amp; text"), (4, "http://f/", "<article><p>open"),

@@ -1,11 +1,13 @@
 """Main text of web pages by equivalence classes of tokens over the pages of a host.
 
 A token is an element of a page with its path from the root, or a text block with its path. Tokens that occur on
-exactly the same pages of a host, equally often, are one equivalence class. The class that occurs exactly once on
-every page is the host's template; classes of fewer pages whose elements lie inside of it are nested into it as
-optional parts. What is between template tokens are slots. The main text is what is left in the slots below the
-article, or below the deepest template element that holds most of the text, without slots of menus, notices,
-adverts, forms and the like, and without text that is itself part of the template.
+exactly the same pages of a host, equally often, are one equivalence class. Classes of tokens that occur at most once
+a page, on enough pages, are the host's template: large ones on most pages, and others nested into them as optional
+parts, whose elements lie in elements of the template. Pages without tokens do not count, and a page that is cut short
+only splits a class in two. What is between template tokens are slots. The main text is what is left in the slots
+below the deepest template element that holds most of the text, without slots of menus, notices, adverts, forms and
+the like, and without text that is itself part of the template. Where an article holds most of what is left, only
+articles are taken.
 
 Occurrence vectors are never gathered: each page adds a hash of itself to each of its tokens by exclusive or, so
 equal sums mean equal vectors and a host with a third of all pages is summed on the map side. Templates have one
@@ -31,7 +33,11 @@ from pyspark.sql import functions as F
 TEXT_PAGES = 8
 #: Part of a host's pages on which a token of the template occurs at least.
 SUPPORT = 0.2
-#: Part of the text that the main element holds at least, where a host has no article.
+#: Part of a host's pages on which the main element, and a class of one text only, occur at least.
+MOST = 0.5
+#: Part of the text of its pages that a class of text holds at most; one with more is a copied article.
+COPIED = 0.5
+#: Part of the text that the main element holds at least.
 MAIN_SHARE = 0.6
 
 PIECE = re.compile(
