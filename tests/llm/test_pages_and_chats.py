@@ -63,6 +63,19 @@ def test_empty_and_truncated_pages_leave_the_template(spark):
     assert got[50] == "Cut text" and got[51] == got[52] == "" and got[53] == "502 Bad Gateway"
 
 
+def test_article_tags_are_a_hint(spark):
+    teasers = "<aside><article><p>Teaser {0}</p></article></aside><article class='related-posts'><p>Also {0}</p></article>"
+    comments = "<ol class='comment-list'><li><article><p>Nice {0}</p></article></ol><article class=comment><p>Bad {0}</p></article>"
+    texts = {i: " ".join(prose(700 + i, 50).split()) for i in range(12)}
+    rows = [
+        (i, "http://h.example/", page(i, f"<div class=story><p>{t}</p></div>" + teasers.format(i) + comments.format(i)))
+        for i, t in texts.items()
+    ]
+    rows += [(100, "http://i.example/", page(1, "<article class='post tag-ad has-comments'><p>Story</p></article>"))]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {**texts, 100: "Story"}
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None), (2, None, ""), (3, "http://f/", "plain &amp; text"), (4, "http://f/", "<article><p>open"),

@@ -77,9 +77,12 @@ def boilerplate(tag: str, attributes: dict[str, str], inside_article: bool) -> b
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if tag in ("html", "body") or tag in ARTICLE:
+    if tag in ("html", "body"):
         return False
     marks = " ".join(attributes.get(a, "") for a in ("class", "id", "role")).lower()
+    if tag in ARTICLE:
+        # What an article is stands first in a name; later words are its topics ("tag-ad", "has-comments").
+        return any(found and found[0] in BOILERPLATE_WORDS for found in map(WORD.match, marks.split()))
     return any(word in BOILERPLATE_WORDS for word in WORD.findall(marks))
 
 
@@ -190,9 +193,12 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for path, text, links, dropped in read.blocks:
                 token = text_token(path, text)
                 texts[token] = texts.get(token, 0) + 1
+                letters[token] = letters.get(token, 0) + (0 if dropped else len(text) - min(links, len(text)))
                 if not dropped:
                     for up in parents(path):
                         letters[up] = letters.get(up, 0) + len(text) - min(links, len(text))
+            if not read.elements and not texts:
+                continue
             for token, times in {"": 1, **read.elements, **texts}.items():
                 vector = xxhash.xxh3_64_intdigest(f"{page}:{times}".encode())
                 rows.append((host, token, vector - (1 << 63), times, letters.get(token, 0)))
@@ -210,24 +216,52 @@ def templates(pages: DataFrame) -> DataFrame:
         F.bit_xor("vector").alias("vector"), F.count("*").alias("pages"), F.max("times").alias("most"),
         F.sum("letters").alias("letters"),
     )
-    # The page itself is a token too: what has its vector occurs once on every page.
+    # The page itself is a token too, which counts the pages and their text.
     roots = sums.filter(F.col("token") == "").select(
-        F.col("host").alias("_h"), F.col("vector").alias("_root"), F.col("pages").alias("_pages"),
+        F.col("host").alias("_h"), F.col("pages").alias("_pages"),
         F.col("letters").alias("_letters"),
     )
-    kept = sums.join(roots, F.col("host") == F.col("_h")).filter(F.col("pages") >= SUPPORT * F.col("_pages"))
-    is_text = F.contains("token", F.lit("\n"))
-    always = (F.col("vector") == F.col("_root")) & (F.col("most") == 1)
-    template = kept.filter(
-        # Optional parts: elements that occur at most once a page.
-        F.when(is_text, always & (F.col("_pages") >= TEXT_PAGES)).otherwise(F.col("most") == 1)
+    kept = sums.join(roots, F.col("host") == F.col("_h")).filter(
+        (F.col("pages") >= SUPPORT * F.col("_pages")) & (F.col("most") == 1)
     )
-    main = always & ~is_text & (F.col("letters") >= MAIN_SHARE * F.col("_letters")) & (F.col("_letters") > 0)
-    return template.groupBy("host").agg(
-        F.collect_list(F.when(~is_text, F.col("token"))).alias("elements"),
+    is_text = F.contains("token", F.lit("\n"))
+    classes = kept.groupBy("host", "vector", "pages").agg(
+        F.first("_pages").alias("_pages"), F.first("_letters").alias("_letters"),
+        F.collect_list(F.when(~is_text, F.struct("token", "letters"))).alias("elements"),
         F.collect_list(F.when(is_text, F.col("token"))).alias("texts"),
-        F.max_by("token", F.when(main, F.length("token"))).alias("main"),
+        F.sum(F.when(is_text, F.col("letters")).otherwise(0)).alias("letters"),
     )
+    # A few classes of few pages each: tokens on a fifth of the pages are at most five times those of a page.
+    return classes.groupBy("host").agg(F.collect_list(
+        F.struct("pages", "_pages", "_letters", "elements", "texts", "letters")
+    ).alias("_classes")).mapInPandas(_nested, "host string, elements array<string>, texts array<string>, main string")
+
+
+def accepted(classes) -> tuple[list[str], list[str], str | None]:
+    """Element paths and text tokens of a host's template, and its main path, of the host's classes of tokens."""
+    paths, texts, mains = {""}, [], []
+    for part in sorted(classes, key=lambda c: -c["pages"]):
+        pages, of = part["pages"], part["_pages"]
+        # An optional part is nested if what its elements lie in is part of the template, or of itself.
+        for element in sorted(part["elements"], key=lambda e: len(e["token"])):
+            token = element["token"]
+            if token and token.rpartition("/")[0] in paths:
+                paths.add(token)
+                if pages >= MOST * of and part["_letters"] and element["letters"] >= MAIN_SHARE * part["_letters"]:
+                    mains.append(token)
+        together = len(part["elements"]) + len(part["texts"]) > 1
+        enough = of >= TEXT_PAGES and (pages >= MOST * of or together and pages >= TEXT_PAGES)
+        # On all pages a text is template however long it is; on some a long one is a copied article.
+        copied = pages < MOST * of and part["letters"] * of > COPIED * part["_letters"] * pages
+        if enough and not copied:
+            texts.extend(part["texts"])
+    return sorted(paths - {""}), sorted(texts), max(mains, key=lambda m: (len(m), m), default=None)
+
+
+def _nested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(host, *accepted(classes)) for host, classes in zip(batch["host"], batch["_classes"])]
+        yield pd.DataFrame(rows, columns=["host", "elements", "texts", "main"])
 
 
 def in_article(path: str) -> bool:
@@ -242,14 +276,20 @@ def heading(path: str) -> bool:
 def main_text(source: str | None, elements: frozenset[str], texts: frozenset[str], main: str | None) -> str:
     """The blocks of a page in the slots of its main text, one a line."""
     read = Page(source)
-    articles = any(in_article(path) for path in read.elements)
+    blocks = []
+    for path, text, links, dropped in read.blocks:
+        if not dropped:
+            slot = next((up for up in reversed(parents(path)) if up in elements), "")
+            inside = not main or slot == main or slot.startswith(f"{main}/")
+            blocks.append((path, text, len(text) - min(links, len(text)), inside, in_article(path)))
+    if not any(inside or article for _, _, _, inside, article in blocks):
+        blocks = [(path, text, letters, True, article) for path, text, letters, _, article in blocks]
+    # An article is a hint only: it has to hold most of the text that the slots leave.
+    own = [b for b in blocks if (b[3] or b[4]) and text_token(b[0], b[1]) not in texts] or blocks
+    articles = any(b[4] for b in own) and 2 * sum(b[2] for b in own if b[4]) >= sum(b[2] for b in own)
     kept, rest = [], []
-    for path, text, _, dropped in read.blocks:
-        if dropped:
-            continue
-        slot = next((up for up in reversed(parents(path)) if up in elements), "")
-        inside = in_article(path) if articles else not main or slot == main or slot.startswith(f"{main}/")
-        if inside or not articles and heading(path):
+    for path, text, _, inside, article in blocks:
+        if article if articles else inside or article or heading(path):
             rest.append(text)
             if text_token(path, text) not in texts:
                 kept.append(text)
