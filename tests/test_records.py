@@ -29,7 +29,8 @@ def test_pages_without_records(spark, tmp_path):
     assert json.loads(got[0]._raw) == {"id": 1, "x": {"y": [1.50]}}
 
 
-@pytest.mark.parametrize("body", ["oops", '{"orders": [{"id": 1}, {"id"', "[]", '"x"', '{"orders": {"id": 1}}', "{"])
+@pytest.mark.parametrize("body", ["oops", '{"orders": [{"id": 1}, {"id"', "[]", '"x"', '{"orders": {"id": 1}}', "{",
+    '{"orders": {"id": 1}, "id": 5, "updated_at": "2026-01-01T00:00:00Z"}'])
 def test_broken_pages(spark, body):
     pages = spark.createDataFrame([('{"orders": [{"id": 1}]}', "p0"), (body, "p1")], "value string, _page string")
     with pytest.raises(Exception, match="page is no readable envelope: p1"):

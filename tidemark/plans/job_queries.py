@@ -244,12 +244,16 @@ def rejected_records(spark, folder):
     FROM (SELECT *, o_orderkey // 250 % 3 = 0 AS is_cut FROM orders) GROUP BY is_cut""",
 )
 def rejected_pages(spark, folder):
-    """With ``broken="reject"`` a third of the pages, cut off, are a rejected record each."""
+    """With ``broken="reject"`` a third of the pages are a rejected record each: half of them are cut off, the others are
+    envelopes of another kind that look like a record themselves."""
     work = scratch_folder(spark, "rejected-pages")
     _land(order_records(spark, folder), work)
     first = F.regexp_extract("value", r'"order_number":"#(\d+)"', 1).cast("bigint")
     pages = spark.read.text(work).withColumn("is_cut", F.floor(first / 250) % 3 == 0)
-    cut = F.when(F.col("is_cut"), F.substring("value", F.lit(1), F.length("value") - 3)).otherwise(F.col("value"))
+    other = F.lit('{"orders": {"id": 1}, "id": 5, "updated_at": "2023-01-01T00:00:00Z"}')
+    cut = F.when(F.floor(first / 250) % 6 == 3, other).when(
+        F.col("is_cut"), F.substring("value", F.lit(1), F.length("value") - 3)
+    ).otherwise(F.col("value"))
     orders = RESOURCES["orders"]
     rows = project_records(
         explode_pages(pages.withColumn("value", cut), orders, broken="reject"), orders, "r", F.lit("2024-01-01").cast("timestamp")

@@ -28,8 +28,8 @@ def explode_pages(pages: DataFrame, resource: Resource, body: str = "value", bro
     """One row per record, its JSON text in ``_raw`` and its place in the page in ``_pos``.
 
     A page with an empty body, or without the resource's field, has no rows. A body that is no readable envelope
-    fails the query; with ``broken="reject"`` it is one row with the body as its record, which later
-    counts as rejected.
+    fails the query; with ``broken="reject"`` it is one row with the body in ``_raw`` and ``_page_broken`` set, which
+    ``project_records`` rejects whatever the body looks like.
     """
     if broken not in ("fail", "reject"):
         raise ValueError(f"broken must be fail or reject, not {broken!r}")
@@ -47,6 +47,8 @@ def explode_pages(pages: DataFrame, resource: Resource, body: str = "value", bro
         instead = F.array(F.col("_body"))
     records = F.when(unreadable, instead).otherwise(F.col("_envelope")[field])
     rest = [c for c in pages.columns if c != body]
+    if broken == "reject":
+        parsed, rest = parsed.withColumn("_page_broken", F.coalesce(unreadable, F.lit(False))), [*rest, "_page_broken"]
     return parsed.select(*rest, F.posexplode(records).alias("_pos", "_raw"))
 
 
@@ -56,20 +58,21 @@ def project_records(
     """Lift key and ``updated_at`` out of ``_raw`` and stamp the row; nothing is dropped.
 
     ``_reject`` is NULL for good rows and names the reason for the others. All lifted fields come
-    from one pass over the text.
+    from one pass over the text. A row marked ``_page_broken`` is no record: it has neither key nor time.
     """
     names = (*resource.key, "updated_at")
     schema = ", ".join(f"`{n}` string" for n in names) + ", `_broken` string"
     parsed = F.from_json(F.col("_raw"), schema, {"columnNameOfCorruptRecord": "_broken"})
-    rest = [c for c in records.columns if c != "_raw"]
+    rest = [c for c in records.columns if c not in ("_raw", "_page_broken")]
+    whole = ~F.col("_page_broken") if "_page_broken" in records.columns else F.lit(True)
     lifted = parse_once(records, parsed, "_p").select(
         *rest,
-        *(F.col(f"_p.{k}").try_cast("bigint").alias(k) for k in resource.key),
-        parse_iso(F.col("_p.updated_at")).alias("updated_at"),
+        *(F.when(whole, F.col(f"_p.{k}").try_cast("bigint")).alias(k) for k in resource.key),
+        F.when(whole, parse_iso(F.col("_p.updated_at"))).alias("updated_at"),
         "_raw",
         as_of.cast("timestamp").alias("_synced_at"),
         F.lit(sync_id).cast("string").alias("_sync_id"),
-        F.col("_p._broken").isNotNull().alias("_bad_json"),
+        (~whole | F.col("_p._broken").isNotNull()).alias("_bad_json"),
     )
     no_key = F.lit(False)
     for k in resource.key:
