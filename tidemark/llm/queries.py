@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, html, language_model, mixing, passages, pivots, quality, rules, simhash
+from tidemark.llm import (
+    alignment, bpe, chat, html, language_model, mixing, negatives, passages, pivots, quality, rules, simhash, warc,
+)
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.plans.inputs import table
 
@@ -74,6 +76,60 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(docs, passages.digest, "n_words long, n_removed long, kept_sha256 string")
 
 
+_WARC_SQL = """WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
+    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS nth,
+    first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS first_id
+  FROM pages)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN nth > 1 THEN first_id END AS refers_to
+FROM payloads"""
+
+
+@query("op11_warc_archives", _WARC_SQL)
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.page_digests(warc.read_archives(manifest, payloads=False))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = (public_tokenizers.path(x) for x in (alignment.LEFT, alignment.RIGHT))
+    return alignment.alignment(table(spark, sf_dir, "documents"), left, right)
+
+
+_NEGATIVES_SQL = """WITH usable AS (
+  SELECT row_number() OVER () AS nr, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.nr AS anchor, a.vec_id AS anchor_id, c.nr, c.vec_id, a.label = c.label AS same,
+    CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.nr <> c.nr AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, nr) AS nth
+  FROM scored WHERE same QUALIFY nth <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY n.score DESC, n.vec_id NULLS LAST, n.nr) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor = n.anchor
+WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+
+@query("op13_hard_negatives", _NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.usable(table(spark, sf_dir, "embeddings").withColumn("label", label))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
