@@ -169,12 +169,12 @@ def test_tokens_equal_the_library(spark):
     assert Counter((r.doc_id, r.decoded) for r in separate) == Counter((r.doc_id, r.decoded) for r in got)
 
 
-def test_encoder_forgets(spark):
+@pytest.mark.parametrize("letters", [1, 60, 5000])
+def test_blocks_of_any_size_give_the_same_ids(letters):
     vocab = bpe.vocabulary(PATH)
-    small, large = bpe.Encoder(vocab, remembered=3), bpe.Encoder(vocab)
-    texts = [r[1] for r in more_rows(0, 40)]
-    few = [i.tolist() for t in texts for i in small.encode([t])]
-    assert few == [i.tolist() for i in large.encode(texts)]
+    texts = [r[1] for r in odd_rows() + more_rows(0, 40)] + TEXTS
+    small = [i.tolist() for i in bpe.Encoder(vocab, letters).encode(texts)]
+    assert small == [i.tolist() for i in bpe.Encoder(vocab).encode(texts)]
 
 
 def test_empty_tables(spark):

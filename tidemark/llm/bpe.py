@@ -1,9 +1,9 @@
 """BPE encoding and decoding with a pair occurrence index.
 
-Texts of a batch are cut into chunks at white space. The chunks that are new to the task are normalised and
-cut into pieces, and all new pieces are merged together: an index maps each adjacent pair of symbols to all
-its places in the batch, ranks that occur are taken in ascending order, each at all its places at once, and only
-the pairs beside a merge are changed.
+Texts are cut into chunks at white space. The distinct chunks of a partition, or of a large block of it, are
+normalised and cut into pieces, and all their pieces are merged together: an index maps each adjacent pair of
+symbols to all its places, ranks that occur are taken in ascending order, each at all its places at once, and
+only the pairs beside a merge are changed.
 
 Null and blank texts have no ids and decode to an empty text; texts of any length are whole. Equal rows
 are rows of their own, an empty table gives an empty result. Columns that are kept pass through unchanged, nulls
@@ -16,7 +16,8 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -28,10 +29,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.text import WORD
 
-#: Chunks a task remembers from batch to batch; beyond it the memory starts anew. A matter of speed only.
-REMEMBERED = 60_000
-#: Documents that are numbered and learned from together, and documents that are handed on together.
-LEARN, AT_ONCE = 1000, 250
+#: A block of texts ends at so many letters of distinct chunks, or so many chunks. It bounds memory: an index costs
+#: about 60 bytes a letter. The larger the block, the fewer times each rank is taken.
+LETTERS = 3_000_000
+#: Places looked at together when an index begins, and documents that are handed on together.
+LOOK, AT_ONCE = 500_000, 250
+#: Special tokens as letters, beyond those of bytes.
+SPECIAL_LETTERS = 0x400
 VOCABULARY = "word_bpe_49k.json"
 #: Up to here the splitting pattern of the file and that of the ``regex`` module agree on what is a letter; texts
 #: with later letters are split by the library that the file is made for.
@@ -80,6 +84,13 @@ class Vocabulary:
         self.pairs, self.joined = merges[:, 0], merges[:, 1]
         self.order = np.argsort(self.pairs)
         self.sorted_pairs = self.pairs[self.order]
+        #: Ids of letters by code point, within a piece and at its end; special tokens are letters of their own.
+        self.special_piece = {token: chr(SPECIAL_LETTERS + i) for i, token in enumerate(self.special)}
+        self.letter_ids = np.full((2, SPECIAL_LETTERS + len(self.special)), -1, dtype=np.int32)
+        for letter in BYTE_LETTERS:
+            self.letter_ids[:, ord(letter)] = self.ids.get(letter, -1), self.ids.get(letter + self.ending, -1)
+        for token, letter in self.special_piece.items():
+            self.letter_ids[:, ord(letter)] = self.special[token]
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
 
@@ -97,12 +108,17 @@ class Vocabulary:
             x if x.isascii() and x.isprintable() else "".join([BYTE_LETTERS[b] for b in x.encode()]) for x in found
         ]
 
-    def symbols(self, piece: str) -> list[int]:
-        """One id for each letter of a piece, the last with the mark of a word's end."""
-        ids = self.ids
-        letters = [ids[x] for x in piece[:-1] if x in ids]
-        last = piece[-1] + self.ending
-        return [*letters, ids[last]] if last in ids else letters
+    def symbols(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One id for each letter of the pieces, the last of a piece with the mark of a word's end, and how many
+        each piece has. Letters that the file does not know are left out."""
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32)
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        last = np.zeros(len(codes), dtype=bool)
+        last[np.cumsum(lengths) - 1] = True
+        ids = np.where(last, self.letter_ids[1][codes], self.letter_ids[0][codes])
+        known = ids >= 0
+        owner = np.repeat(np.arange(len(pieces)), lengths)
+        return ids[known], np.bincount(owner[known], minlength=len(pieces))
 
     def ranks(self, pairs: np.ndarray) -> np.ndarray:
         """The rank of each pair; -1 for pairs that are never merged."""
@@ -141,29 +157,31 @@ class PairIndex:
         return rank, np.unique(np.concatenate(self.places.pop(rank)))
 
 
-def merge_pieces(pieces: list[list[int]], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all pieces one after another, and how many each piece has.
+def merge_pieces(symbols: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces one after another, and how many each piece has; pieces are given in the same way.
 
     ``-1`` stands before, between and behind pieces, so no pair reaches over it. A place can be out of date by the
     time its pair is taken; then it is left out. Within a piece the leftmost of overlapping pairs goes first.
     """
-    lengths = np.array([len(p) for p in pieces], dtype=np.int64)
-    symbol = np.full(int(lengths.sum()) + len(pieces) + 1, -1, dtype=np.int64)
-    owner = np.repeat(np.arange(len(pieces)), lengths)
-    symbol[np.arange(len(owner)) + owner + 1] = [s for piece in pieces for s in piece]
-    left, right = np.arange(len(symbol)) - 1, np.arange(len(symbol)) + 1
+    symbol = np.full(len(symbols) + len(lengths) + 1, -1, dtype=np.int32)
+    symbol[np.arange(1, len(symbols) + 1) + np.repeat(np.arange(len(lengths)), lengths)] = symbols
+    left = np.arange(-1, len(symbol) - 1, dtype=np.int32)
+    right = np.arange(1, len(symbol) + 1, dtype=np.int32)
     alive = np.ones(len(symbol), dtype=bool)
     index = PairIndex()
 
     def look(places: np.ndarray) -> None:
         a, b = symbol[places], symbol[right[places]]
-        index.add(np.where((a >= 0) & (b >= 0), vocab.ranks(a << 32 | b), -1), places)
+        some = (a >= 0) & (b >= 0)
+        if some.any():
+            index.add(vocab.ranks(a[some].astype(np.int64) << 32 | b[some]), places[some])
 
-    look(np.arange(len(symbol) - 1))
+    for begin in range(0, len(symbol) - 1, LOOK):
+        look(np.arange(begin, min(begin + LOOK, len(symbol) - 1), dtype=np.int32))
     while index.active:
         rank, at = index.take()
         first, second = int(vocab.pairs[rank]) >> 32, int(vocab.pairs[rank]) & 0xFFFFFFFF
-        at = at[alive[at] & (symbol[at] == first)]
+        at = at[(symbol[at] == first) & alive[at]]
         at = at[symbol[right[at]] == second]
         if first == second and len(at) > 1:
             free, last = [], -1
@@ -171,17 +189,17 @@ def merge_pieces(pieces: list[list[int]], vocab: Vocabulary) -> tuple[np.ndarray
                 if place != last:
                     free.append(place)
                     last = int(right[place])
-            at = np.array(free, dtype=np.int64)
+            at = np.array(free, dtype=np.int32)
         if not len(at):
             continue
         gone = right[at]
         symbol[at], alive[gone] = vocab.joined[rank], False
         beyond = right[gone]
         right[at], left[beyond] = beyond, at
-        look(np.unique(np.r_[left[at], at]))
+        look(np.concatenate((left[at], at)))
     kept = alive & (symbol >= 0)
     of = np.cumsum(symbol < 0) - 1
-    return symbol[kept], np.bincount(of[kept], minlength=len(pieces))[:len(pieces)]
+    return symbol[kept], np.bincount(of[kept], minlength=len(lengths))[:len(lengths)]
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -190,15 +208,12 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes batches of texts; the ids of chunks already met are kept for the next batch."""
+    """Encodes texts in blocks. A block ends when its distinct chunks have ``letters`` letters, or its texts
+    ``letters`` chunks: that bounds its memory. All its distinct pieces are merged in one index."""
 
-    def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
-        self.vocab, self.remembered = vocab, remembered
-        self.forget()
-
-    def forget(self) -> None:
+    def __init__(self, vocab: Vocabulary, letters: int = LETTERS):
+        self.vocab, self.letters = vocab, letters
         self.known: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = (np.zeros(0, dtype=np.int64) for _ in range(3))
 
     def numbered(self, text: str) -> np.ndarray:
         """The chunks of a text by number; unknown ones get the next. A special token is its own chunk,
@@ -212,37 +227,45 @@ class Encoder:
                 chunks += [*WORD.findall(text[end:found.start()]), f" {found.group()}"]
                 end = found.end()
             chunks += WORD.findall(text[end:])
-        return np.array([known.setdefault(c, len(known)) for c in chunks], dtype=np.int64)
-
-    def learn(self) -> None:
-        """Ids of all chunks that have a number and no ids yet."""
-        vocab, done = self.vocab, len(self.starts)
-        new = [c for c, _ in zip(reversed(self.known), range(len(self.known) - done))][::-1]
-        cut: list[list[int]] = []
-        numbers: dict[str, int] = {}
-        for chunk in new:
-            pieces = [chunk] if chunk[0] == " " else vocab.pieces(chunk)
-            cut.append([numbers.setdefault(p, len(numbers)) for p in pieces])
-        symbols = [[vocab.special[p[1:]]] if p[0] == " " else vocab.symbols(p) for p in numbers]
-        ids, sizes = merge_pieces(symbols, vocab)
+        return np.fromiter((known.setdefault(c, len(known)) for c in chunks), dtype=np.int32, count=len(chunks))
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order."""
+        waiting: list[np.ndarray] = []
+        letters = chunks = 0
+        for text in texts:
+            before = len(self.known)
+            waiting.append(self.numbered(text or ""))
+            letters += sum(map(len, islice(reversed(self.known), len(self.known) - before)))
+            chunks += len(waiting[-1])
+            if max(letters, chunks) >= self.letters:
+                yield from self._finished(waiting)
+                waiting, letters, chunks = [], 0, 0
+        yield from self._finished(waiting)
+
+    def _finished(self, waiting: list[np.ndarray]) -> Iterator[np.ndarray]:
+        ids, starts, sizes = self._learned()
+        for numbers in waiting:
+            yield ids[ranges(starts[numbers], sizes[numbers])]
+
+    def _learned(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the block's chunks one after another, where each chunk's begin, and how many it has."""
+        vocab, numbers = self.vocab, {}
+        flat, per_chunk = array("i"), array("i")
+        for chunk in self.known:
+            pieces = [vocab.special_piece[chunk[1:]]] if chunk[0] == " " else vocab.pieces(chunk)
+            flat.extend([numbers.setdefault(p, len(numbers)) for p in pieces])
+            per_chunk.append(len(pieces))
+        self.known = {}
+        symbols, lengths = vocab.symbols(list(numbers))
+        del numbers
+        ids, sizes = merge_pieces(symbols, lengths, vocab)
         starts = np.cumsum(sizes) - sizes
-        flat = np.array([n for pieces in cut for n in pieces], dtype=np.int64)
-        per_chunk = np.array([len(pieces) for pieces in cut], dtype=np.int64)
+        flat, per_chunk = np.array(flat, dtype=np.int32), np.array(per_chunk, dtype=np.int32)
         ids = ids[ranges(starts[flat], sizes[flat])]
-        owner = np.repeat(np.arange(len(cut)), per_chunk)
-        chunk_sizes = np.bincount(owner, sizes[flat], minlength=len(cut)).astype(np.int64)
-        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(chunk_sizes) - chunk_sizes]
-        self.sizes = np.r_[self.sizes, chunk_sizes]
-        self.ids = np.r_[self.ids, ids]
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.known) > self.remembered:
-            self.forget()
-        numbered = [self.numbered(t or "") for t in texts]
-        if len(self.known) > len(self.starts):
-            self.learn()
-        for numbers in numbered:
-            yield self.ids[ranges(self.starts[numbers], self.sizes[numbers])].astype(np.int32)
+        owner = np.repeat(np.arange(len(per_chunk)), per_chunk)
+        chunk_sizes = np.bincount(owner, sizes[flat], minlength=len(per_chunk)).astype(np.int64)
+        return ids, np.cumsum(chunk_sizes) - chunk_sizes, chunk_sizes
 
 
 def decode(vocab: Vocabulary, ids: list[int]) -> str:
@@ -265,8 +288,7 @@ def encode_texts(
         vocab = vocabulary(path)
         encoder = Encoder(vocab)
         for batch in batches:
-            parts = range(0, batch.num_rows, LEARN)
-            encoded = (ids for i in parts for ids in encoder.encode(batch.column("_text").slice(i, LEARN).to_pylist()))
+            encoded = encoder.encode(text.as_py() for text in batch.column("_text"))
             for at in range(0, batch.num_rows, AT_ONCE):
                 ids = list(islice(encoded, min(AT_ONCE, batch.num_rows - at)))
                 out = _passed(batch, keep, at) | {"ids": pa.array(ids, type=pa.list_(pa.int32()))}
@@ -274,7 +296,6 @@ def encode_texts(
                     out["decoded"] = pa.array([decode(vocab, i.tolist()) for i in ids], type=pa.string())
                 yield pa.RecordBatch.from_pydict(out)
         # Workers live on for other tasks: what this one needed goes back.
-        encoder.forget()
         pa.default_memory_pool().release_unused()
 
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(
