@@ -12,11 +12,6 @@ Equal fingerprints are one node, so copies cost nothing. An anchor with more tha
 compared in one task: its fingerprints go to all words within one bit of them, where any two that meet are linked
 and at most 65 can meet; two fingerprints within 2 bits always meet in one.
 
-``one_of_each`` asks for more than 2 bits can tell: documents link at a Jaccard similarity of ``ALIKE`` of their sets of
-``WORDS_ALIKE``-word shingles, where fingerprints differ in about 10 bits. No covering code reaches that far, so there
-the anchors are ``BANDS`` groups of least shingle hashes. Who shares one of them and differs in at most ``WIDE`` bits
-is a candidate, and links only if the sets themselves say so.
-
 Null, empty and blank texts have fingerprint zero and link like any other. Documents with a null id take part;
 their component is the smallest id that they reach, null if there is none. Equal rows are rows of their own. An
 empty table gives an empty result; columns other than ``doc_id`` and ``text`` are not looked at.
@@ -41,12 +36,6 @@ from tidemark.scratch import stored
 SHINGLE = 3
 SEED = 42
 NEAR = 2
-#: Shingles, and their least similarity, of the documents of which one stays.
-WORDS_ALIKE, ALIKE = 5, 0.8
-#: A pair at 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, three in a million.
-BANDS, IN_BAND = 24, 4
-#: At 0.8 about 10 of 64 bits differ, with a deviation of 3; unrelated texts differ in 32, with one of 4.
-WIDE = 26
 #: Generator of the perfect binary Golay code: 23 bits, 12 of them free, radius 3.
 GOLAY, GOLAY_BITS, GOLAY_RADIUS, GOLAY_CHECK = 0b101011100011, 23, 3, 11
 HALF, TAIL = 32, 9
@@ -256,133 +245,16 @@ def near_duplicates(docs: DataFrame, full: int = FULL) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """Distinct hashes of a text's shingles of ``WORDS_ALIKE`` words, in order; a shorter text is one shingle."""
-    words = lowered_words(text)
-    count = max(min(len(words), 1), len(words) - WORDS_ALIKE + 1)
-    digest = xxhash.xxh64_intdigest
-    hashes = (digest(b" ".join(words[at:at + WORDS_ALIKE]), SEED) for at in range(count))
-    return np.unique(np.fromiter(hashes, dtype=np.uint64, count=count))
-
-
-@lru_cache(maxsize=1)
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    factor, step = rng.integers(0, 2**64, (2, BANDS * IN_BAND), dtype=np.uint64)
-    return factor | np.uint64(1), step
-
-
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """The anchors of a set of shingles: hashes of groups of its least elements under fixed permutations."""
-    factor, step = _permutations()
-    least = np.full(len(factor), np.iinfo(np.uint64).max)
-    for begin in range(0, len(hashes), 1024):
-        some = hashes[begin:begin + 1024]
-        least = np.minimum(least, ((some[:, None] ^ step) * factor).min(axis=0))
-    rows = least.reshape(BANDS, IN_BAND)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], dtype=np.uint64)
-
-
-def _outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        nodes, prints, sizes, anchors_of = [], [], [], []
-        for text in batch["text"]:
-            hashes = shingle_hashes(text)
-            counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            bits = (2 * counts > len(hashes)).astype(np.uint8)
-            prints.append(np.packbits(bits, bitorder="little").view(np.int64)[0])
-            nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-            sizes.append(len(hashes))
-            anchors_of.append(bands(hashes).view(np.int64))
-        yield pd.DataFrame({
-            "doc_id": batch["doc_id"], "_text": batch["_text"], "node": np.array(nodes, dtype=np.uint64).view(np.int64),
-            "fp": np.array(prints, dtype=np.int64), "size": np.array(sizes, dtype=np.int64), "bands": anchors_of,
-        })
-
-
-def _shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"node": batch["node"], "shingles": [shingle_hashes(t).view(np.int64) for t in batch["text"]]})
-
-
-def _alike(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets of shingles are similar enough."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("_n")).distinct()
-    wanted = nodes.join(asked, F.col("node") == F.col("_n"), "left_semi").select("node", F.col("_text").alias("_t"))
-    texts = docs.select(F.xxhash64("text").alias("_own"), "text")
-    read = wanted.join(texts, F.col("_t") == F.col("_own")).dropDuplicates(["node"])
-    sets = stored(read.select("node", "text").mapInPandas(_shingles, "node long, shingles array<long>"), "shingles")
-    both = pairs.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
-    common = F.size(F.array_intersect("_a", "_b"))
-    return both.filter(common >= ALIKE * (F.size("_a") + F.size("_b") - common)).select("a", "b")
-
-
-def _candidates(met: DataFrame) -> DataFrame:
-    """Distinct pairs of nodes that may be similar, of rows (node, fp, size, other, other_fp, other_size)."""
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other_fp"))) <= WIDE
-    sizes = F.least("size", "other_size") >= ALIKE * F.greatest("size", "other_size")
-    return met.filter((F.col("node") != F.col("other")) & close & sizes).select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
-    ).distinct()
-
-
-def _others(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        F.col("band").alias("_band"), F.col("node").alias("other"), F.col("fp").alias("other_fp"),
-        F.col("size").alias("other_size"), *[F.col(c).alias(f"other_{c}") for c in rows.columns if c == "root"],
-    )
-
-
-def alike_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) among nodes that keep together all that candidates of enough similarity connect.
-
-    First all that meet at an anchor are compared with one of them. Then whoever is not yet connected to most of an
-    anchor is compared with all there that it is not connected to; a dense group is done after the first step.
-    """
-    spread = nodes.select("node", "fp", "size", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.count("*").alias("_count"), F.min(F.struct("node", "fp", "size")).alias("_c"))
-    centres = shared.filter("_count > 1").select("band", "_c.node", "_c.fp", "_c.size")
-    lists = stored(spread.join(centres.select("band"), "band", "left_semi"), "bands")
-    first = stored(_candidates(lists.join(_others(centres), F.col("band") == F.col("_band"))), "first-pairs")
-    links = stored(_alike(first, nodes, docs), "first-links")
-    rooted = components(links).toDF("_n", "_root")
-    known = stored(
-        lists.join(rooted, F.col("node") == F.col("_n"), "left").select(
-            "band", "node", "fp", "size", F.coalesce("_root", "node").alias("root")
-        ), "rooted-bands",
-    )
-    most = known.groupBy("band", "root").count().groupBy("band").agg(
-        F.count("*").alias("_roots"), F.max(F.struct("count", "root")).alias("_m")
-    ).filter("_roots > 1").select(F.col("band").alias("_b"), F.col("_m.root").alias("_most"))
-    open_rows = known.join(most, (F.col("band") == F.col("_b")) & (F.col("root") != F.col("_most")))
-    met = open_rows.join(_others(known), (F.col("band") == F.col("_band")) & (F.col("root") != F.col("other_root")))
-    second = stored(_candidates(met).join(first, ["a", "b"], "left_anti"), "second-pairs")
-    return links.union(_alike(second, nodes, docs))
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the first of their group of near copies, with all their columns.
+def one_of_each(docs: DataFrame, full: int = FULL) -> DataFrame:
+    """The documents that are the first of their component, with all their columns.
 
-    Rows with the same id are told apart by their text; of equal rows one stays.
+    Links are those of ``near_duplicates``: no other check of similarity. Rows with the same id are told apart by
+    their text; of equal rows one stays.
     """
     own = F.xxhash64("text")
-    outlined = docs.select("doc_id", own.alias("_text"), "text").mapInPandas(
-        _outline, "doc_id long, _text long, node long, fp long, size long, bands array<long>"
-    )
-    prints = stored(outlined, "outlines")
-    nodes = stored(
-        prints.groupBy("node").agg(
-            F.min("doc_id").alias("_first"), F.min("_text").alias("_text"), F.min("fp").alias("fp"),
-            F.min("size").alias("size"), F.min("bands").alias("bands"),
-        ), "distinct-outlines",
-    )
-    rooted = components(alike_links(nodes, docs)).toDF("_n", "_root")
-    named = nodes.join(rooted, F.col("node") == F.col("_n"), "left").select(
-        F.col("node").alias("_node"), "_first", F.coalesce("_root", "node").alias("root")
-    )
-    smallest = named.groupBy(F.col("root").alias("_r")).agg(F.min("_first").alias("component_id"))
-    classed = named.join(smallest, F.col("root") == F.col("_r")).select("_node", "root", "component_id")
-    first = prints.join(classed, F.col("node") == F.col("_node")).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    prints = stored(docs.select("doc_id", own.alias("_text"), fingerprint_of("text").alias("fp")), "fingerprints")
+    classed = classes(prints, full).withColumnRenamed("fp", "_fp")
+    first = prints.join(classed, F.col("fp") == F.col("_fp")).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "_text")).alias("_chosen")).select(
         F.col("_chosen.doc_id").alias("_id"), F.col("_chosen._text").alias("_text")
     )
