@@ -1,6 +1,8 @@
 """A corpus pipeline: quality, near-duplicates, repeated passages, mixing, tokens.
 
-Each stage takes all rows its predecessor kept. All but the last return the columns of the documents.
+Each stage takes all rows its predecessor kept. All but the last return the columns of the documents, any further
+columns among them. Null and empty texts pass the stages as texts without words; rows with equal id and text are one
+document after the near-dedup; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, mixing, passages, quality, simhash
 from tidemark.scratch import stored
 
-#: No SQL expresses a fitted classifier; the pipeline is tested against a brute-force version.
+#: No SQL expresses a fitted classifier; the stages behind it are tested against plain versions on small tables.
 ORACLE_SQL = None
 
 
@@ -28,9 +30,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group that a Jaccard similarity of 0.8 connects.
+    """One document, that with the smallest id, of each group that SimHash links connect.
 
-    Similarity is that of the sets of five-word shingles; every link is verified on the sets.
+    Fingerprints are of three-word shingles and link at two or fewer differing bits, as in the operator itself.
     """
     return simhash.one_of_each(docs)
 
