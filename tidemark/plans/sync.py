@@ -19,6 +19,7 @@ from tidemark.operators.retention import expired_results, expired_runs, keep_row
 from tidemark.operators.rules import evaluate_rules
 from tidemark.operators.unnest import variant_rows
 from tidemark.scratch import remove_folder
+from tidemark.sinks.bucketed import BucketedTable
 from tidemark.sinks.state import StateTable
 from tidemark.sinks.tables import append_rows, retain_rows
 from tidemark.sinks.versions import Checkpoints
@@ -57,16 +58,18 @@ class SyncResult:
 
 
 class Warehouse:
-    """The tables of one installation below one shared folder."""
+    """The tables of one installation below one shared folder. With ``bucketed`` state tables are Spark's bucketed
+    tables, whose stored rows a merge leaves where they are; choose it once per installation."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, bucketed: bool = False):
+        self.spark, self.root, self.buckets, self.bucketed = spark, root.rstrip("/"), buckets, bucketed
         self.checkpoints = Checkpoints(spark, f"{self.root}/checkpoints")
         self.ledger_path = f"{self.root}/ledger"
         self.results_path = f"{self.root}/results"
 
-    def state(self, pipeline: str, name: str) -> StateTable:
-        return StateTable(self.spark, f"{self.root}/state/{pipeline}/{name}", resource(name), self.buckets)
+    def state(self, pipeline: str, name: str) -> StateTable | BucketedTable:
+        kind = BucketedTable if self.bucketed else StateTable
+        return kind(self.spark, f"{self.root}/state/{pipeline}/{name}", resource(name), self.buckets)
 
     def staging(self, sync_id: str) -> str:
         return f"{self.root}/landed/{sync_id}"
