@@ -21,7 +21,7 @@ from tidemark.operators.unnest import variant_rows
 from tidemark.scratch import remove_folder
 from tidemark.sinks.bucketed import BucketedTable
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import append_rows, retain_rows
+from tidemark.sinks.tables import append_rows, recover_table, retain_rows
 from tidemark.sinks.versions import Checkpoints
 from tidemark.sources.incremental import read_incremental
 from tidemark.sources.pages import accepted, explode_pages, project_records, read_pages
@@ -89,6 +89,8 @@ class Warehouse:
     def retain(self, as_of: datetime, keep: Retention = Retention()) -> dict[str, int]:
         """Remove expired runs and rule results from the stored tables; returns how many entries went."""
         now = F.lit(as_of)
+        for path in (self.ledger_path, self.results_path):
+            recover_table(self.spark, path)
         entries = self._appended(self.ledger_path, f"{LEDGER_SCHEMA}, entry_at timestamp")
         runs = fold_entries(entries, "entry_at")
         old = runs.filter(expired_runs(now, keep)["runs"]).select("sync_id")

@@ -35,26 +35,113 @@ def expired_days(rows: DataFrame, cutoff: date) -> DataFrame:
     return rows.select("log_date").filter(F.col("log_date") < F.lit(cutoff)).distinct()
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in another's place. Readers and writers of it must not be at work."""
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = Path(f"{path.rstrip('/')}.old")
-    fs.rename(Path(path), old)
-    fs.rename(Path(new), Path(path))
-    fs.delete(old, True)
+#: Before the name of a table that is being rewritten.
+NEW, OLD = ".new.", ".old."
+
+
+class _Place:
+    """A table's folder, and beside it the one that takes its place and the one that leaves it.
+
+    A rewrite goes on from wherever it stopped: ``new`` is there, with the list of the files it was made from, until it
+    has become the table; before ``old`` is there, the table is as it was.
+    """
+
+    SOURCES = "_sources"
+
+    def __init__(self, spark: SparkSession, path: str):
+        # Names that begin with a dot are no part of a table, whatever partitions it has.
+        parent, _, name = path.rstrip("/").rpartition("/")
+        self.path, self.new, self.old = (
+            spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/{kind}{name}") for kind in ("", NEW, OLD)
+        )
+        self.spark, self.fs = spark, self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files(self, folder) -> list[str]:
+        """Data files below a folder, relative to it."""
+        if not self.fs.exists(folder):
+            return []
+        top, found, listed = self.fs.makeQualified(folder).toUri().getPath(), [], self.fs.listFiles(folder, True)
+        while listed.hasNext():
+            name = listed.next().getPath().toUri().getPath()[len(top) + 1:]
+            if not any(part.startswith(("_", ".")) for part in name.split("/")):
+                found.append(name)
+        return found
+
+    def _move(self, start, end) -> None:
+        self.fs.mkdirs(end.getParent())
+        if not self.fs.rename(start, end):
+            raise OSError(f"{start} could not be moved to {end}")
+
+    def _within(self, folder, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+
+    def write_new(self, kept: DataFrame, sources: list[str], by: tuple[str, ...]) -> None:
+        kept.write.mode("overwrite").partitionBy(*by).parquet(self.new.toString())
+        out = self.fs.create(self._within(self.new, self.SOURCES), True)
+        out.write(bytearray("\n".join(sources).encode()))
+        out.close()
+
+    def _sources(self) -> set[str] | None:
+        """The files that ``new`` was made from; none as long as it is not complete."""
+        listed = self._within(self.new, self.SOURCES)
+        if not self.fs.exists(listed):
+            return None
+        stream = self.fs.open(listed)
+        content = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        return set(content.split("\n")) - {""}
+
+    def swap(self) -> None:
+        """Put ``new`` in the table's place. Files that were appended since its sources were listed come along."""
+        sources = self._sources()
+        if sources is None:
+            return
+        if not self.fs.exists(self.old):
+            self._move(self.path, self.old)
+        # Besides late files of the old folder, those of writers that found no folder and began one.
+        for folder, known in ((self.old, sources), (self.path, set())):
+            for name in self.files(folder):
+                if name not in known:
+                    self._move(self._within(folder, name), self._within(self.new, name))
+        if self.fs.exists(self.path):
+            self.fs.delete(self.path, True)
+        self._move(self.new, self.path)
+        self.fs.delete(self._within(self.path, self.SOURCES), False)
+        self.fs.delete(self.old, True)
+
+    def recover(self) -> None:
+        """Finish a rewrite that was cut off, or forget it if the table was still as it was."""
+        if self.fs.exists(self.old):
+            if self.fs.exists(self.new):
+                self.swap()
+            else:
+                self.fs.delete(self.old, True)
+        elif self.fs.exists(self.new):
+            self.fs.delete(self.new, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish or forget a rewrite of a table that died. Called before a table is read for a rewrite."""
+    _Place(spark, path).recover()
+
+
+def _relative(frame: DataFrame, place: _Place) -> list[str]:
+    top = place.fs.makeQualified(place.path).toUri().getPath()
+    uri = frame.sparkSession._jvm.java.net.URI
+    return [uri(name).getPath()[len(top) + 1:] for name in frame.inputFiles()]
 
 
 def retain_rows(rows: DataFrame, path: str, kept: DataFrame, by: tuple[str, ...] = ()) -> int:
     """Rewrite an append-only table with ``kept``, some of its ``rows``; returns how many went.
 
-    Nothing is written if all stay.
+    Nothing is written if all stay. ``rows`` is a scan of the table, which lists its files once: files appended later
+    stay as they are. A rewrite that dies is finished, or forgotten, by ``recover_table``; no row is lost.
     """
     gone = rows.count() - kept.count()
     if gone:
-        new = f"{path.rstrip('/')}.new"
-        kept.write.mode("overwrite").partitionBy(*by).parquet(new)
-        _swap(rows.sparkSession, new, path)
+        place = _Place(rows.sparkSession, path)
+        place.write_new(kept, _relative(rows, place), by)
+        place.swap()
     return gone
 
 
@@ -67,6 +154,9 @@ def retain_days(spark: SparkSession, path: str, as_of: datetime, keep: Retention
     Path = spark._jvm.org.apache.hadoop.fs.Path
     fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory()]
+    for name in {n.removeprefix(OLD).removeprefix(NEW) for n in names if n.startswith((OLD, NEW))}:
+        recover_table(spark, f"{path}/{name}")
+    names = [s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory()]
     days = sorted(date.fromisoformat(n[9:]) for n in names if n.startswith("log_date=") and n[9:10].isdigit())
     limits = [as_of - timedelta(days=d) for d in (keep.logs, keep.error_logs)]
     gone = [d for d in days if d < min(limits).date()]
@@ -84,10 +174,8 @@ def retain_days(spark: SparkSession, path: str, as_of: datetime, keep: Retention
     counts = rows.filter(any_expired).groupBy("log_date").count().collect()
     for found in counts:
         folder = f"{path}/log_date={found.log_date}"
-        new = f"{path}/_new/log_date={found.log_date}"
-        keep_rows(spark.read.parquet(folder), expired).write.mode("overwrite").parquet(new)
-        _swap(spark, new, folder)
-        result["rows"] += found["count"]
+        day = spark.read.parquet(folder)
+        result["rows"] += retain_rows(day, folder, keep_rows(day, expired))
     return result
 
 
