@@ -22,6 +22,7 @@ from tidemark.plans.sync import SyncSpec, Warehouse, run_sync
 from tidemark.scratch import scratch_folder
 from tidemark.sinks.tables import read_days
 from tidemark.streaming.alerts import dedupe_alert_stream
+from tidemark.streaming.beats import stale_beats, timers
 from tidemark.streaming.logs import start_log_stream
 from tidemark.streaming.sync import start_sync_stream
 
@@ -261,6 +262,41 @@ def stream_alert_dedup(spark, folder):
 # --- jobs and streams -------------------------------------------------------------------------------
 
 
+_SILENCE = 6 * 3600
+
+
+@query(
+    "stream_stale_beats",
+    f"""WITH beats AS (
+      SELECT 'p' || CAST(user_id % 50 AS VARCHAR) AS pipeline, ts,
+        lead(ts) OVER (PARTITION BY user_id % 50 ORDER BY ts) AS next_at, max(ts) OVER () AS newest FROM events)
+    SELECT pipeline, ts AS last_beat, ts + INTERVAL {_SILENCE} SECOND AS due_at FROM beats
+    WHERE next_at - ts > INTERVAL {_SILENCE} SECOND
+      OR (next_at IS NULL AND ts + INTERVAL {_SILENCE} SECOND < newest - INTERVAL 60 SECOND)""",
+)
+def stream_stale_beats(spark, folder):
+    """Silences of a stream of beats. The stream is stopped between two date ranges and started again."""
+    work = scratch_folder(spark, "beat-stream")
+    events = table(spark, folder, "events")
+    pipeline = F.concat(F.lit("p"), F.col("user_id") % 50)
+    rows = events.select(pipeline.alias("pipeline"), F.col("ts").alias("at"))
+    for first, last in (("1900-01-01", "2024-01-16"), ("2024-01-16", "9999-01-01")):
+        rows.filter((F.col("at") >= at(first)) & (F.col("at") < at(last))).write.mode("append").parquet(f"{work}/in")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
+        with timers(spark):
+            job = (
+                stale_beats(arriving, after_s=_SILENCE, late_s=60)
+                .writeStream.format("parquet")
+                .option("path", f"{work}/out")
+                .option("checkpointLocation", f"{work}/checkpoint")
+                .trigger(availableNow=True)
+                .start()
+            )
+        job.awaitTermination()
+    found = spark.read.parquet(f"{work}/out")
+    return found.select("pipeline", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("last_beat", "due_at")])
+
+
 @query("stream_logs", _LOG_ROWS)
 def stream_logs(spark, folder):
     work = scratch_folder(spark, "log-stream")
