@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.model import RESOURCES
 from tidemark.operators.feed import refreshed_groups, refreshed_sums, signed_rows
 from tidemark.operators.marts import customer_value, revenue_daily
+from tidemark.operators.reconcile import checksums, reconcile
 from tidemark.plans.inputs import AS_OF_TEXT, STATE, arriving_orders, at, money, stored_orders, table
 from tidemark.plans.registry import query
 from tidemark.scratch import scratch_folder, stored
@@ -134,3 +135,24 @@ def customer_ltv_changes(spark, folder):
         signed = signed_rows(state.changes(old, old + 1), ["id"])
         mart = stored(refreshed_groups(mart, signed, customers, "customer", valued(state.read(old + 1))), "values")
     return mart
+
+
+_LINES = ["o_orderdate", "o_totalprice", "o_orderstatus"]
+
+
+@query(
+    "reconcile_rows",
+    """SELECT o_orderkey, 'missing' AS status FROM orders WHERE o_orderkey % 5000 = 7
+    UNION ALL SELECT o_orderkey, 'changed' FROM orders WHERE o_orderkey % 5000 = 8
+    UNION ALL SELECT o_orderkey + 100000000, 'extra' FROM orders WHERE o_orderkey % 5000 = 9""",
+)
+def reconcile_rows(spark, folder):
+    """Two copies of the orders that differ in a few rows, and the stored checksums of both."""
+    source = table(spark, folder, "orders").select("o_orderkey", *_LINES)
+    step = F.col("o_orderkey") % 5000
+    extra = source.filter(step == 9).withColumn("o_orderkey", F.col("o_orderkey") + 100_000_000)
+    price = F.when(step == 8, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = source.filter(step != 7).withColumn("o_totalprice", price).union(extra)
+    sides = [stored(rows.repartitionByRange(8, "o_orderkey"), "copy") for rows in (source, copy)]
+    sums = [stored(checksums(rows, "o_orderkey", _LINES, narrow=64), "checksums") for rows in sides]
+    return reconcile(*sides, "o_orderkey", _LINES, *sums, narrow=64)
