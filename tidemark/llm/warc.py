@@ -42,6 +42,8 @@ ARCHIVE_BYTES = 64 << 20
 #: A dictionary is made of the first records of its archive: at most so many records and bytes, at least so many records.
 SAMPLE_RECORDS, SAMPLE_BYTES, LEAST_SAMPLE = 400, 4 << 20, 40
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
+#: Archives are read in as many tasks as there are archives, and no more than this; a task reads one after another.
+MOST_TASKS = 100_000
 #: Bytes read from an archive at a time.
 PIECE = 16 << 10
 DATE = "2000-01-01T00:00:00Z"
@@ -349,9 +351,9 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    # Archives are dealt out by name: a task reads one after another, each as a stream.
-    spread = archives.select("archive").repartition(F.xxhash64("archive"))
-    return spread.mapInArrow(made, RECORD)
+    # A given number of tasks: the rows that name archives are small, and would be read as one partition.
+    names = archives.select("archive")
+    return names.repartition(max(1, min(names.count(), MOST_TASKS)), "archive").mapInArrow(made, RECORD)
 
 
 def page_digests(records: DataFrame) -> DataFrame:
