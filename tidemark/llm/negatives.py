@@ -3,7 +3,7 @@
 A row's score is its integer inner product with an anchor. An anchor's positives are its best rows of the same label; a
 hard negative of a positive is a row of another label whose score lies in a window below the positive's score.
 
-Anchors lie in neighbourhoods of bounded size, each with a minimum spanning tree. Rows lie in blocks. Where a
+Anchors lie in neighbourhoods of about equal size, each with a minimum spanning tree. Rows lie in blocks. Where a
 neighbourhood meets a block, the root's scores are computed; a child's score of a row lies within its parent's
 score plus and minus the length of the edge times the norm of the row. Only rows whose bounds reach into what is
 wanted are scored again for the child, the others hand their bounds on. For positives that is the least of the best
@@ -33,7 +33,7 @@ SCALE = 256
 POSITIVES, NEGATIVES = 5, 3
 #: The window of a negative's score, in percent of its positive's.
 LOW, HIGH = 50, 95
-#: Numbers in the vectors of a block (16384 rows of 64), and anchors of a neighbourhood.
+#: Numbers in the vectors of a block (16384 rows of 64), and anchors of a neighbourhood, about.
 BLOCK, ANCHORS = 1 << 20, 1_024
 #: Scores a long holds are below this; a pair beyond it has no score.
 LONG = 2**63
@@ -263,33 +263,11 @@ def _cell(find, count: int):
     return made
 
 
-def _trees(near: int):
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Cut sorted anchors of a task into neighbourhoods and give each its tree."""
-        from pyspark import TaskContext
-
-        task, cut, waiting = TaskContext.get().partitionId(), 0, None
-
-        def tree(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            nonlocal cut
-            for dims, some in rows.groupby("dims", sort=False):
-                some = some.reset_index(drop=True)
-                vectors = np.array(some["vector"].tolist(), dtype=np.int64).reshape(len(some), dims)
-                place, parent, length = spanning_tree(vectors)
-                cut += 1
-                yield some.assign(
-                    near=task << 32 | cut, place=place, parent=np.where(parent >= 0, place[parent], -1), length=length
-                )
-
-        for batch in batches:
-            waiting = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
-            while len(waiting) >= near:
-                yield from tree(waiting[:near])
-                waiting = waiting[near:]
-        if waiting is not None and len(waiting):
-            yield from tree(waiting)
-
-    return made
+def _tree(rows: pd.DataFrame) -> pd.DataFrame:
+    """The anchors of a neighbourhood with their places in its tree."""
+    vectors = np.array(rows["vector"].tolist(), dtype=np.int64).reshape(len(rows), int(rows["dims"].iloc[0]))
+    place, parent, length = spanning_tree(vectors)
+    return rows.assign(place=place, parent=np.where(parent >= 0, place[parent], -1), length=length)
 
 
 def neighbourhoods(anchors: DataFrame, near: int = ANCHORS) -> DataFrame:
@@ -307,11 +285,17 @@ def neighbourhoods(anchors: DataFrame, near: int = ANCHORS) -> DataFrame:
             yield pd.Series(made)
 
     key = F.pandas_udf(keys, "long")
-    count = max(1, -(-anchors.count() // near))
-    sorted_by = ["dims", "_key", "row"]
-    spread = anchors.withColumns({"_key": key("vector"), "dims": F.size("vector")}).repartitionByRange(count, *sorted_by)
-    return spread.sortWithinPartitions(*sorted_by).drop("_key").mapInPandas(
-        _trees(near), f"{_ROW}, dims int, near long, place long, parent long, length double"
+    keyed = anchors.withColumns({"_key": key("vector"), "dims": F.size("vector")})
+    # One row per length and key: at most 2 ** DIRECTIONS a length.
+    order = Window.partitionBy("_dims").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy(F.col("dims").alias("_dims"), F.col("_key").alias("_of")).agg(F.count("*").alias("_size"))
+    sizes = stored(sizes.withColumn("_before", F.coalesce(F.sum("_size").over(order), F.lit(0))), "anchor-keys")
+    # Keys in order share neighbourhoods, anchors of a common key are dealt out to several.
+    place = F.col("_before") + F.pmod(F.xxhash64("row"), F.col("_size"))
+    number = F.floor(place / near).cast("long") + F.shiftleft(F.col("dims").cast("long"), 40)
+    placed = keyed.join(sizes, (F.col("dims") == F.col("_dims")) & (F.col("_key") == F.col("_of")))
+    return placed.select(*anchors.columns, "dims", number.alias("near")).groupBy("near").applyInPandas(
+        _tree, f"{_ROW}, dims int, near long, place long, parent long, length double"
     )
 
 
