@@ -15,7 +15,7 @@ from tidemark.operators import alerts as A
 from tidemark.operators import rules
 from tidemark.operators.logs import log_rows
 from tidemark.plans.inputs import (
-    AS_OF_TEXT, BEATS, RESULTS, at, beats, ledger, order_records, table,
+    AS_OF_TEXT, BEATS, LEDGER, RESULTS, at, beats, ledger, order_records, table,
 )
 from tidemark.plans.registry import query
 from tidemark.plans.sync import SyncSpec, Warehouse, run_sync
@@ -24,6 +24,7 @@ from tidemark.sinks.tables import read_days
 from tidemark.streaming.alerts import dedupe_alert_stream
 from tidemark.streaming.beats import stale_beats, timers
 from tidemark.streaming.logs import start_log_stream
+from tidemark.streaming.metrics import read_metrics, start_metrics_stream
 from tidemark.streaming.sync import start_sync_stream
 
 _SPACES = (
@@ -297,6 +298,25 @@ def stream_stale_beats(spark, folder):
     return found.select("pipeline", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("last_beat", "due_at")])
 
 
+@query(
+    "stream_run_metrics",
+    f"""WITH {LEDGER} SELECT pipeline, resource, mode, status, CAST(started_at AS DATE) AS day, count(*) AS runs,
+      CAST(coalesce(sum(upserted_count), 0) AS BIGINT) AS records_upserted,
+      CAST(coalesce(sum(duration_seconds), 0) AS DECIMAL(20,2)) AS seconds
+    FROM ledger WHERE status <> 'running' GROUP BY ALL""",
+)
+def stream_run_metrics(spark, folder):
+    """Counters of finished runs, kept by a stream that is stopped in the middle of a day and started again."""
+    work = scratch_folder(spark, "metrics-stream")
+    runs = ledger(spark, folder).filter("status <> 'running'")
+    for early in (True, False):
+        rows = runs.filter((F.col("started_at") < at("2024-01-16 11:00:00")) == F.lit(early))
+        rows.write.mode("append").parquet(f"{work}/in")
+        arriving = spark.readStream.schema(runs.schema).parquet(f"{work}/in")
+        start_metrics_stream(arriving, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return read_metrics(spark, f"{work}/out")
+
+
 @query("stream_logs", _LOG_ROWS)
 def stream_logs(spark, folder):
     work = scratch_folder(spark, "log-stream")
