@@ -63,6 +63,20 @@ def test_empty_and_truncated_pages_leave_the_template(spark):
     assert got[50] == "Cut text" and got[51] == got[52] == "" and got[53] == "502 Bad Gateway"
 
 
+def test_copies_of_pages_do_not_cancel_out(spark):
+    rows = [(i, "http://k.example/", f"<body><div><p>own {i}</p></div></body>") for i in range(8)]
+    rows += 2 * [(8, "http://k.example/", "<body><div><p>own 8</p></div><b1><p>d</p></b1></body>")]
+    rows += 2 * [(9, "http://k.example/", "<body><div><p>own 9</p></div><b2><p>e</p></b2></body>")]
+    pages = spark.createDataFrame([(u, str(i), h) for i, u, h in rows], "_host string, _page string, html string")
+    # Two pairs of copies with a part of their own each: no class may hold parts of both.
+    sums = html.token_sums(pages).filter("pages = 2").collect()
+    classes = {}
+    for r in sums:
+        classes.setdefault((r.low, r.high), set()).add(next((b for b in ("b1", "b2") if b in r.token), None))
+    assert {frozenset(c) for c in classes.values()} >= {frozenset({"b1"}), frozenset({"b2"})}
+    assert not any({"b1", "b2"} <= c for c in classes.values())
+
+
 def test_article_tags_are_a_hint(spark):
     teasers = "<aside><article><p>Teaser {0}</p></article></aside><article class='related-posts'><p>Also {0}</p></article>"
     comments = "<ol class='comment-list'><li><article><p>Nice {0}</p></article></ol><article class=comment><p>Bad {0}</p></article>"

@@ -9,8 +9,8 @@ below the deepest template element that holds most of the text, without slots of
 the like, and without text that is itself part of the template. Where an article holds most of what is left, only
 articles are taken.
 
-Occurrence vectors are never gathered: each page adds a hash of itself to each of its tokens by exclusive or, so
-equal sums mean equal vectors and a host with a third of all pages is summed on the map side. Templates have one
+Occurrence vectors are never gathered: each page adds a hash of itself to each of its tokens, so equal sums mean equal
+vectors, pages that are equal rows included, and a host with a third of all pages is summed on the map side. Templates have one
 row per host with a bounded number of tokens, since each must occur on a fifth of the host's pages.
 
 Null and empty html gives an empty text; null urls are one host. Broken markup is read as far as it goes: unclosed
@@ -209,13 +209,19 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][^:/]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: its template's element paths, the text tokens of the template, and the main path."""
+def token_sums(pages: DataFrame) -> DataFrame:
+    """One row per host and token: the sum of its pages' hashes, how many pages it is on, how often at most on one."""
     tokens = pages.mapInPandas(_tokens, "host string, token string, vector long, times int, letters long")
-    sums = tokens.groupBy("host", "token").agg(
-        F.bit_xor("vector").alias("vector"), F.count("*").alias("pages"), F.max("times").alias("most"),
-        F.sum("letters").alias("letters"),
+    # Two sums of half a hash each: they overflow for no number of pages, and copies of a page do not cancel out.
+    return tokens.groupBy("host", "token").agg(
+        F.sum(F.col("vector").bitwiseAND(0xFFFFFFFF)).alias("low"), F.sum(F.shiftright("vector", 32)).alias("high"),
+        F.count("*").alias("pages"), F.max("times").alias("most"), F.sum("letters").alias("letters"),
     )
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """One row per host: its template's element paths, the text tokens of the template, and the main path."""
+    sums = token_sums(pages)
     # The page itself is a token too, which counts the pages and their text.
     roots = sums.filter(F.col("token") == "").select(
         F.col("host").alias("_h"), F.col("pages").alias("_pages"),
@@ -225,7 +231,7 @@ def templates(pages: DataFrame) -> DataFrame:
         (F.col("pages") >= SUPPORT * F.col("_pages")) & (F.col("most") == 1)
     )
     is_text = F.contains("token", F.lit("\n"))
-    classes = kept.groupBy("host", "vector", "pages").agg(
+    classes = kept.groupBy("host", "low", "high", "pages").agg(
         F.first("_pages").alias("_pages"), F.first("_letters").alias("_letters"),
         F.collect_list(F.when(~is_text, F.struct("token", "letters"))).alias("elements"),
         F.collect_list(F.when(is_text, F.col("token"))).alias("texts"),
