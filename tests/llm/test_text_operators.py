@@ -55,6 +55,54 @@ def test_rules_adapt_and_keep_ordinary_documents(spark):
     assert {(r._lang, r._source) for r in limits} == {(r[2], r[3]) for r in rows}
 
 
+def test_kept_against_brute_force(spark):
+    """Groups of 1 to 80 documents, within what a sketch holds exactly: quartiles by sorting, weighed by hand."""
+    rng = random.Random(3)
+    rows = []
+    for lang, source, n in (("en", "a", 80), ("en", "b", 12), ("en", None, 1), (None, "a", 7)):
+        for _ in range(n):
+            words = [rng.choice("abcdefgh") * rng.choice((1, 3, 5, 30)) + rng.choice(("", "", "#%")) for _ in range(rng.randint(8, 40))]
+            rows.append((len(rows), "\n".join([" ".join(words)] + rng.choice(([], ["x", "x"]))), lang, source, None))
+
+    def shares(text):
+        n, chars, symbols, copies, repeats = counts_of(text)
+        return chars / n, symbols / chars, copies / sum(1 for line in text.split("\n") if line.strip()), repeats / n
+
+    def quartile(values, rank):
+        return sorted(values)[max(math.ceil(rank * len(values)) - 1, 0)]
+
+    expected = {}
+    for doc_id, text, lang, source, _ in rows:
+        own = [shares(r[1]) for r in rows if r[2:4] == (lang, source)]
+        every = [shares(r[1]) for r in rows if r[2] == lang]
+        n, _, _, _, repeats = counts_of(text)
+        kept = n >= 10 and 100 * repeats <= 20 * n
+        for i, least in enumerate(rules.METRICS.values()):
+            low, high = (
+                (len(own) * quartile([s[i] for s in own], q) + 200 * quartile([s[i] for s in every], q)) / (len(own) + 200)
+                for q in (0.25, 0.75)
+            )
+            width = 3 * max(high - low, least)
+            kept = kept and low - width <= shares(text)[i] <= high + width
+        expected[doc_id] = kept
+    assert {r.doc_id: r.kept for r in rules.judge(documents(spark, rows)).collect()} == expected
+    assert 0 < sum(expected.values()) < len(rows)
+
+
+def test_verdicts_of_a_group_move_smoothly(spark):
+    """One document more never throws a group from its language's quartiles to its own."""
+    counts = lambda rows: rules.base_counts(documents(spark, rows), "doc_id", "lang", "source")
+    short = lambda at, n, size, source: [
+        (at + i, " ".join(["w" * size + str(i % 7)] + ["v" * size] * 11), "en", source, None) for i in range(n)
+    ]
+    rest = short(0, 3000, 4, "b")
+    highs = []
+    for n in (199, 200, 201):
+        limits = rules.thresholds(counts(rest + short(10_000, n, 9, "a"))).filter("_source = 'a'").first()
+        highs.append(limits.high_mean_word)
+    assert max(highs) - min(highs) < 0.05
+
+
 def shared_out(sizes, weights):
     """Targets by doing what the rule says, round after round."""
     left, rest, targets = set(range(len(sizes))), float(sum(sizes)), [0.0] * len(sizes)

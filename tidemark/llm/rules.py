@@ -21,8 +21,8 @@ SKETCH = 200
 REACH = 3.0
 #: metric -> least interquartile range, so that a group of nearly equal values rejects no ordinary ones.
 METRICS = {"mean_word": 0.5, "symbol_share": 0.05, "dup_line_share": 0.1, "repeat_share": 0.05}
-#: Groups with fewer documents than this use the sketch merged over their whole language.
-SMALL_GROUP = 200
+#: How many documents of a group weigh as much as all of its language: quartiles of both are averaged by weight.
+LANGUAGE_WEIGHT = 200
 
 
 def let(value: Column, body) -> Column:
@@ -110,7 +110,8 @@ def thresholds(counts: DataFrame, reach: float = REACH) -> DataFrame:
     """Lowest and highest accepted value of each metric per (lang, source).
 
     One sketch per group and metric is built on the map side and merged, so a group with a third of all rows
-    is a few kilobytes per task. Sketches of a language are merged from those of its groups.
+    is a few kilobytes per task. Sketches of a language are merged from those of its groups. A group of n documents
+    has its own quartiles with weight n and those of its language with ``LANGUAGE_WEIGHT``, at every size.
     """
     measured = counts.filter(F.col("n_words") > 0).select(
         "lang", "source", *[value.alias(name) for name, value in metrics().items()]
@@ -124,9 +125,11 @@ def thresholds(counts: DataFrame, reach: float = REACH) -> DataFrame:
     both = groups.join(languages, F.col("lang").eqNullSafe(F.col("_lang")))
 
     def bounds(metric: str, least: float) -> list[Column]:
-        sketch = F.when(F.col("_n") >= SMALL_GROUP, F.col(metric)).otherwise(F.col("all_" + metric))
-        low = F.kll_sketch_get_quantile_double(sketch, F.lit(0.25))
-        high = F.kll_sketch_get_quantile_double(sketch, F.lit(0.75))
+        def quartile(rank: float) -> Column:
+            own, all_of = (F.kll_sketch_get_quantile_double(F.col(s), F.lit(rank)) for s in (metric, "all_" + metric))
+            return (F.col("_n") * own + LANGUAGE_WEIGHT * all_of) / (F.col("_n") + LANGUAGE_WEIGHT)
+
+        low, high = quartile(0.25), quartile(0.75)
         width = F.greatest(high - low, F.lit(least)) * reach
         return [(low - width).alias("low_" + metric), (high + width).alias("high_" + metric)]
 
