@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.model import LOOKBACK_RUNS, RESULT_STATUSES, Thresholds
 from tidemark.operators.ledger import TABLE, successes, with_history
 from tidemark.operators.merge import is_active
+from tidemark.operators.sliding import sliding_median
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -203,11 +204,28 @@ def volume_against_median(ledger: DataFrame, limits: Thresholds = Thresholds())
         .groupBy(*TABLE, "day")
         .agg(F.sum("n").alias("samples"), F.percentile("fetched", 0.5, F.col("n")).alias("median"))
     )
+    return _volume_verdict(runs.join(history, [*TABLE, "day"], "left"), limits)
+
+
+def volume_against_sliding_median(
+    ledger: DataFrame, limits: Thresholds = Thresholds(), rows_per_bucket: int = 200_000
+) -> DataFrame:
+    """Rows fetched by each run against the median run of exactly the days before its start, to the microsecond."""
+    runs = ledger.filter(F.col("status") == "success").select(
+        "sync_id", *TABLE, "started_at", _fetched().alias("fetched")
+    )
+    history = sliding_median(runs, TABLE, "started_at", "fetched", limits.volume_days, rows_per_bucket)
+    renamed = history.select(*[F.col(c).alias(f"_{c}") for c in (*TABLE, "started_at")], "samples", "median")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in TABLE] + [F.col("started_at") == F.col("_started_at")]
+    return _volume_verdict(runs.join(renamed, same, "left"), limits)
+
+
+def _volume_verdict(runs: DataFrame, limits: Thresholds) -> DataFrame:
     known = F.col("samples") >= limits.volume_min_samples
     odd = (F.col("fetched") < F.col("median") * limits.volume_lower) | (
         F.col("fetched") > F.col("median") * limits.volume_upper
     )
-    return runs.join(history, [*TABLE, "day"], "left").select(
+    return runs.select(
         "sync_id", *TABLE, "fetched",
         F.coalesce("samples", F.lit(0)).alias("samples"), "median",
         F.when(~F.coalesce(known, F.lit(False)), "skipped").when(odd, "warning").otherwise("ok").alias("status"),

@@ -377,6 +377,24 @@ def volume_median(spark, folder):
     return rules.volume_against_median(ledger(spark, folder))
 
 
+@query(
+    "volume_median_exact",
+    f"""WITH {LEDGER}, runs AS (
+      SELECT sync_id, pipeline, resource, coalesce(fetched_count, 0) AS fetched,
+        count(*) OVER before AS samples, median(coalesce(fetched_count, 0)) OVER before AS median
+      FROM ledger WHERE status = 'success'
+      WINDOW before AS (PARTITION BY pipeline, resource ORDER BY started_at
+        RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))
+    SELECT sync_id, pipeline, resource, fetched, samples, median,
+      CASE WHEN samples < 3 THEN 'skipped'
+        WHEN fetched < median * 0.2 OR fetched > median * 3.0 THEN 'warning' ELSE 'ok' END AS status
+    FROM runs""",
+)
+def volume_median_exact(spark, folder):
+    """The volume rule over the seven days before each run itself."""
+    return rules.volume_against_sliding_median(ledger(spark, folder))
+
+
 @query(
     "enum_domain",
     f"""WITH {REQUESTS} SELECT id, CASE WHEN status NOT IN ('pending', 'claimed', 'done')
