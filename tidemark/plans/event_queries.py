@@ -25,6 +25,7 @@ from tidemark.streaming.alerts import dedupe_alert_stream
 from tidemark.streaming.beats import stale_beats, timers
 from tidemark.streaming.logs import start_log_stream
 from tidemark.streaming.metrics import read_metrics, start_metrics_stream
+from tidemark.streaming.rules import RUN, RuleStream
 from tidemark.streaming.sync import start_sync_stream
 
 _SPACES = (
@@ -317,6 +318,20 @@ def stream_run_metrics(spark, folder):
     return read_metrics(spark, f"{work}/out")
 
 
+@query("stream_rules", f"WITH {RESULTS} SELECT sync_id, rule, status, percent FROM results")
+def stream_rules(spark, folder):
+    """Rules of runs that arrive by the time they finished, in three parts, the last of which lets all of them go."""
+    work = scratch_folder(spark, "rule-stream")
+    runs = ledger(spark, folder).filter("status <> 'running'").select(*RUN)
+    ends = ["2024-01-11 11:00:00", "2024-01-20 05:00:00", "9999-01-01 00:00:00"]
+    for begin, end in zip(["0001-01-01 00:00:00", *ends], ends):
+        part = runs.filter((F.col("finished_at") >= at(begin)) & (F.col("finished_at") < at(end)))
+        part.write.mode("append").parquet(f"{work}/in")
+        rules_of = RuleStream(spark, f"{work}/out", late_s=0 if end == ends[-1] else 3600)
+        rules_of.start(spark.readStream.schema(runs.schema).parquet(f"{work}/in"), f"{work}/checkpoint").awaitTermination()
+    return rules_of.results().select("sync_id", "rule", "status", "percent")
+
+
 @query("stream_logs", _LOG_ROWS)
 def stream_logs(spark, folder):
     work = scratch_folder(spark, "log-stream")
