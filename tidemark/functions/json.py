@@ -14,3 +14,18 @@ def parse_once(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
     through a generator.
     """
     return rows.select("*", F.explode(F.array(parsed)).alias(name))
+
+
+def as_variant(raw: Column) -> Column:
+    """JSON text as VARIANT, NULL where it is no JSON, or an object that has a field twice.
+
+    Stored in Parquet it is read by path without parsing the text again.
+    """
+    return F.try_parse_json(raw)
+
+
+def variant_field(value: Column, path: str, kind: str) -> Column:
+    """A value of a VARIANT by its path, ``field`` or ``object.field``; NULL where it is missing or of no use as ``kind``."""
+    if "'" in path:
+        raise ValueError(f"no quotes in a path: {path!r}")
+    return F.try_variant_get(value, "$" + "".join(f"['{step}']" for step in path.split(".")), kind)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.json import parse_once
+from tidemark.functions.json import parse_once, variant_field
 from tidemark.model import ID_BATCH_SIZE
 from tidemark.operators.buckets import dense_index
 from tidemark.operators.merge import active_rows
@@ -38,6 +38,15 @@ def unnest(
     return rows.select(*keep, *(F.col(f"_e.{f}").try_cast(t).alias(f) for f, t in fields.items()))
 
 
+def unnest_variant(
+    records: DataFrame, array: str, fields: Mapping[str, str], keep: Sequence[str] = (), raw: str = "_raw"
+) -> DataFrame:
+    """The same from a VARIANT column; nothing is parsed. What is no array has no rows."""
+    elements = F.explode(variant_field(F.col(raw), array, "array<variant>"))
+    rows = records.select(*keep, elements.alias("_e"))
+    return rows.select(*keep, *(variant_field(F.col("_e"), f, t).alias(f) for f, t in fields.items()))
+
+
 def order_lines(orders: DataFrame) -> DataFrame:
     return unnest(orders.withColumnRenamed("id", "order_id"), "line_items", LINE_FIELDS, ["order_id"])
 
@@ -118,6 +127,11 @@ def promote_field(table: DataFrame, field: str, kind: str, column: str = "", raw
     return flatten(table, {column or field: (field, kind)}, raw)
 
 
+def promote_variant(table: DataFrame, field: str, kind: str, column: str = "", raw: str = "_raw") -> DataFrame:
+    """One more typed column out of a VARIANT ``_raw``; ``field`` may be ``object.field``."""
+    return table.withColumn(column or field, variant_field(F.col(raw), field, kind))
+
+
 def apply_mapping(
     table: DataFrame,
     key: Sequence[str],

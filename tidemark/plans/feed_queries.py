@@ -8,10 +8,12 @@ from tidemark.model import RESOURCES
 from tidemark.operators.feed import refreshed_groups, refreshed_sums, signed_rows
 from tidemark.operators.marts import customer_value, revenue_daily
 from tidemark.operators.reconcile import checksums, reconcile
-from tidemark.plans.inputs import AS_OF_TEXT, STATE, arriving_orders, at, money, stored_orders, table
+from tidemark.plans.inputs import AS_OF_TEXT, STATE, arriving_orders, at, ledger, money, stored_orders, table
+from tidemark.plans.ledger_queries import ROLLUP
 from tidemark.plans.registry import query
 from tidemark.scratch import scratch_folder, stored
 from tidemark.sinks.bucketed import BucketedTable
+from tidemark.sinks.rollup import RollupView
 
 ORDERS = RESOURCES["orders"]
 
@@ -137,6 +139,26 @@ def customer_ltv_changes(spark, folder):
     return mart
 
 
+@query("rollup_refresh", ROLLUP)
+def rollup_refresh(spark, folder):
+    """The rollup as a view: runs of the first weeks, then late and wrong ones, then corrections and all the others."""
+    runs = ledger(spark, folder)
+    view = RollupView(spark, scratch_folder(spark, "rollup"))
+    early = F.col("finished_at") < at("2024-01-20 00:00:00")
+    late, wrong = F.hash("sync_id") % 10 == 0, F.hash("sync_id") % 10 == 1
+    mistaken = runs.withColumns({
+        "duration_seconds": (F.col("duration_seconds") + 5).cast("decimal(10,2)"), "fetched_count": F.lit(None).cast("int"),
+        "status": F.lit("failed"),
+    })
+    signed = lambda rows, sign: rows.withColumn("_sign", F.lit(sign))
+    view.refresh(signed(runs.filter(early & ~late & ~wrong), 1).unionByName(signed(mistaken.filter(early & wrong), 1)), "a")
+    view.refresh(
+        signed(mistaken.filter(early & wrong), -1).unionByName(signed(runs.filter(early & (late | wrong)), 1)), "b"
+    )
+    view.refresh(signed(runs.filter(~early), 1), "c")
+    return view.read().withColumn("p95_duration_s", F.round("p95_duration_s", 6))
+
+
 _LINES = ["o_orderdate", "o_totalprice", "o_orderstatus"]
 
 

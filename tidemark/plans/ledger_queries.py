@@ -102,9 +102,7 @@ def prev_runs(spark, folder):
     return runs.select("sync_id", "pipeline", "resource", joined.alias("previous"))
 
 
-@query(
-    "daily_rollup",
-    f"""WITH {LEDGER} SELECT date_trunc('day', finished_at + INTERVAL 7 HOUR) AS day, pipeline, resource, mode,
+ROLLUP = f"""WITH {LEDGER} SELECT date_trunc('day', finished_at + INTERVAL 7 HOUR) AS day, pipeline, resource, mode,
       count(*) FILTER (WHERE status = 'success') AS success_count,
       count(*) FILTER (WHERE status = 'failed') AS failure_count,
       CAST(sum(duration_seconds) AS DOUBLE) / count(duration_seconds) AS avg_duration_s,
@@ -112,8 +110,10 @@ def prev_runs(spark, folder):
       CAST(sum(fetched_count) AS BIGINT) AS total_fetched,
       CAST(sum(upserted_count) AS BIGINT) AS total_upserted
     FROM ledger WHERE finished_at IS NOT NULL AND trigger = 'schedule'
-    GROUP BY ALL""",
-)
+    GROUP BY ALL"""
+
+
+@query("daily_rollup", ROLLUP)
 def daily_rollup(spark, folder):
     rollup = L.daily_rollup(ledger(spark, folder))
     # Interpolation is not computed in the same order; its result has at most four decimals here.

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.json import as_variant
 from tidemark.functions.timestamps import parse_iso
 from tidemark.model import RESOURCES
 from tidemark.operators import marts, unnest
 from tidemark.operators.merge import count_active, merge_counts, upsert
 from tidemark.plans.inputs import at, order_records, product_records, table
 from tidemark.plans.registry import query
+from tidemark.scratch import stored
 from tidemark.sources.incremental import Cursor, read_incremental
 from tidemark.sources.pages import accepted, explode_pages, project_records, usable_ids
 
@@ -347,6 +349,38 @@ def promote_field(spark, folder):
     return unnest.promote_field(rows, "k", "int").drop("_raw")
 
 
+def _as_variants(rows):
+    """The table with ``_raw`` stored as VARIANT."""
+    return stored(rows.withColumn("_raw", as_variant(F.col("_raw"))), "variants")
+
+
+@query(
+    "promote_variant",
+    f"""WITH {_RECORDS} SELECT id, '#' || o_orderkey AS order_number, price AS total_price, o_custkey AS customer_id,
+      'c' || o_custkey || '@example.com' AS customer_email, CAST(NULL AS VARCHAR) AS customer_phone,
+      o_orderpriority AS shipping_city FROM records""",
+)
+def promote_variant(spark, folder):
+    """Typed columns out of records that are stored as VARIANT, objects within them included."""
+    rows = _as_variants(_projected(spark, folder).select("id", "_raw"))
+    for column in ("order_number", "total_price", "customer_id", "customer_email", "customer_phone", "shipping_city"):
+        rows = unnest.promote_variant(rows, *unnest.ORDER_COLUMNS[column], column)
+    return rows.withColumn("total_price", F.col("total_price").cast("double")).drop("_raw")
+
+
+@query(
+    "unnest_variant_lines",
+    f"""WITH {_RECORDS} SELECT id AS order_id, o_orderkey * 10 + i AS id, o_custkey + i AS product_id,
+      'SKU-' || (o_custkey + i) AS sku, CAST(i AS INT) AS quantity, price
+    FROM records, unnest(range(1, o_custkey % 4 + 2)) AS t(i)""",
+)
+def unnest_variant_lines(spark, folder):
+    """Lines of orders that are stored as VARIANT."""
+    rows = _as_variants(_projected(spark, folder).select(F.col("id").alias("order_id"), "_raw"))
+    lines = unnest.unnest_variant(rows, "line_items", unnest.LINE_FIELDS, ["order_id"])
+    return lines.select("order_id", "id", "product_id", "sku", "quantity", F.col("price").cast("double").alias("price"))
+
+
 # --- marts ---------------------------------------------------------------------------------------
 
 
