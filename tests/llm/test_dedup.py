@@ -250,8 +250,8 @@ def test_members_of_a_dense_group_name_the_same_points(points):
     few = pivots.unit(vectors[dense][:1000])
     for a, b in ((few[:-1], few[1:]), (single, near)):
         close = (a * b).sum(axis=1) >= pivots.NEAR
-        share = (index.nearest(a)[:, :, None] == index.nearest(b)[:, None, :]).any(axis=(1, 2))
-        assert close.sum() > 500 and share[close].mean() >= 0.99
+        share = (index.nearest(a)[:, :, None] == index.nearest(b)[:, None, :]).any(axis=2).sum(axis=1)
+        assert close.sum() > 500 and (share[close] >= pivots.SHARED).mean() >= 0.99
     assert len(index.of(64)) == points
 
 
@@ -266,6 +266,45 @@ def test_dense_group_is_found_among_many_points(spark, monkeypatch):
     assert {r.component_id for r in got if dense[r.vec_id]} == {0}
 
 
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_candidates_share_points(blocks):
+    rng = np.random.default_rng(blocks)
+    named = np.array([rng.choice(30, pivots.PREFIX, replace=False) for _ in range(120)])
+    block = np.arange(120) % blocks
+    total = 0
+    for pivot in range(30):
+        listed = (named == pivot).any(axis=1)
+        inside, its_block = named[listed], block[listed]
+        left, right = np.flatnonzero(its_block == 0), np.flatnonzero(its_block == blocks - 1)
+        got = pivots.candidates(inside, pivot, left, right)
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                both = set(inside[a]) & set(inside[b])
+                assert got[i, j] == (len(both) >= pivots.SHARED and min(both) == pivot)
+        total += got.sum()
+    assert total > 1000
+
+
+def test_pairs_that_meet_in_lists_grow_below_a_power():
+    """Pairs that meet in lists, were all points named alike often: four times the rows lead to less than 4 ** 1.6."""
+    def meet(rows):
+        points = min(pivots.MOST_PIVOTS, pivots.POINT_BYTES // (8 * 64), int(2 * rows**0.5))
+        return points * (rows * (pivots.PREFIX - pivots.SHARED + 1) / points) ** 2 / 2
+
+    for rows in (10**6, 4 * 10**6, 16 * 10**6, 256 * 10**6):
+        assert meet(4 * rows) < 4**1.6 * meet(rows)
+
+
+def test_vectors_in_double_precision(spark):
+    """Two vectors that are equal in single precision only, and a pair that links by its last digits alone."""
+    cosine = 0.95 + 1e-12
+    rows = [
+        (0, [1.0, 0.0, 0.0]), (1, [cosine, (1 - cosine**2) ** 0.5, 0.0]), (2, [0.0, 0.0, 1e-60]), (3, [0.0, 1e-60, 1e-60]),
+    ]
+    got = pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3)}
+
+
 def test_empty_tables(spark):
     nothing = empty(spark)
     assert simhash.near_duplicates(nothing).count() == 0
