@@ -1,4 +1,5 @@
 import json
+import random
 import re
 from datetime import datetime, timedelta, timezone
 
@@ -6,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.redact import MASK, redact_json, redact_map, redact_nested, redact_text
+from tidemark.functions.redact import (
+    CASE_PARTNERS, MASK, redact_json, redact_json_native, redact_map, redact_nested, redact_text,
+)
 from tidemark.functions.text import cap_payload, payload_size
 from tidemark.functions.timestamps import parse_iso, parse_since, uptime_text
 from tidemark.operators.logs import log_rows
@@ -88,6 +91,50 @@ def test_redact_json(spark):
     assert got[1] == "token=***efgh {" and got[2] is None
 
 
+def json_texts():
+    """Texts of JSON values, and texts that are nearly JSON."""
+    rng = random.Random(5)
+    words = [
+        "", "a", "note", "token", "my_PASSWORD_x", "é€", "\U0001f600", 'q"\\/', "x\n\r\t\f\b\x01\x1f\x7f", "token=abcdefgh",
+        'secret: "abcdefghij"', "[{,:}]", "api_key", *(f"to{sign}en=12345678" for sign in CASE_PARTNERS), "\u2028",
+    ]
+
+    def node(depth):
+        kind = rng.randrange(8 if depth else 6)
+        if kind == 6:
+            return [node(depth - 1) for _ in range(rng.randrange(4))]
+        if kind == 7:
+            return {rng.choice(words): node(depth - 1) for _ in range(rng.randrange(5))}
+        return [rng.choice(words), rng.choice(words), True, None, rng.randrange(-5, 10**20), rng.choice([1.5, -1e-9, 0.0])][kind]
+
+    whole = [
+        json.dumps([node(5), {w: node(3) for w in rng.sample(words, 3)}][:rng.randrange(3)], ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]), allow_nan=True)
+        for _ in range(150)
+    ]
+    broken = []
+    for text in whole:
+        at = rng.randrange(len(text) + 1)
+        broken += [text[:at], text[:at] + rng.choice('{}[]:,"\\ 0x') + text[at:], text[:at] + text[at + 1:]]
+    return whole + broken + [
+        "", " ", "{}", "[]", "[ ]", "{ }", "[1,]", '{"a":1,}', '{"a"}', '{"a":}', '{1:2}', "1 2", "-", "01", "1.", ".5", "1e5",
+        "-0", "NaN", "[-Infinity]", "+1", "tru", "nul", '"a" "b"', "'a'", '"\\x"', '"\\u12"', '"\n"', "\ufeff{}", "\x0c[]", "]", "}{",
+        '{"token": {"a": [1, {"token": 2}], "b": "]}"}, "password": [], "x": "token=abcdefgh"}', '{"a": 1, "a": 2}',
+        '{"to\\u006ben": 1, "n": "\\/ \\u00e9 \\ud83d\\ude00"}', '[{"secret": null}, {"secret": 1.50}]', "[[[[]]], 1.10, 1E2]",
+        '{"a": "' + "\\n" * 20_000 + '", "token": "' + "x" * 100_000 + '"}', "[" * 300 + "]" * 300, '"' * 2001,
+    ]
+
+
+def test_redact_json_native(spark):
+    texts = json_texts()
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, j string")
+    native = rows.select("i", "j", redact_json_native("j").alias("r"))
+    assert not any(python in native._jdf.queryExecution().toString() for python in ("Python", "Arrow"))
+    expected = {r.i: r.r for r in rows.select("i", redact_json("j").alias("r")).collect()}
+    for row in native.collect():
+        assert row.r == expected[row.i], row.j[:300]
+    assert sum(MASK in (r or "") for r in expected.values()) > 50
+
+
 PAYLOADS = [{}, {"a": "x"}, {"a": "x\n\"\\\t", "b": "é€"}, {"a": "\U0001f600\x7f", "é": "1"}, {"a": "x" * 10_229}, {"a": "x" * 10_232}]
 
 

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from tidemark.functions.redact import (
-    MASK, VALUE_WORDS, redact_json, redact_map_exact, redact_nested, redact_text,
+    MASK, VALUE_WORDS, redact_json, redact_json_native, redact_map_exact, redact_nested, redact_text,
 )
 from tidemark.functions.text import cap_payload, payload_size
 from tidemark.model import RESOURCES
@@ -69,19 +69,17 @@ def redact_keys(spark, folder):
     )
 
 
-@query(
-    "redact_json",
-    f"""SELECT conv_id, turn, {_clean('text')} AS text, '{MASK}' AS password, role AS inner_role,
-      {_clean("'token=' || role || '12345678'")} AS inner_note FROM conversations""",
-)
-def redact_json_query(spark, folder):
-    """The same for JSON text without a known schema."""
+_JSON_SQL = f"""SELECT conv_id, turn, {_clean('text')} AS text, '{MASK}' AS password, role AS inner_role,
+      {_clean("'token=' || role || '12345678'")} AS inner_note FROM conversations"""
+
+
+def _json_redacted(spark, folder, redact):
     note = F.concat(F.lit("token="), "role", F.lit("12345678"))
     payload = F.to_json(
         F.struct("text", F.col("role").alias("db_Password"),
                  F.array(F.struct("role", note.alias("note"))).alias("list"))
     )
-    clean = table(spark, folder, "conversations").select("conv_id", "turn", redact_json(payload).alias("j"))
+    clean = table(spark, folder, "conversations").select("conv_id", "turn", redact(payload).alias("j"))
     return clean.select(
         "conv_id", "turn",
         *(F.get_json_object("j", path).alias(name) for name, path in (
@@ -91,6 +89,18 @@ def redact_json_query(spark, folder):
     )
 
 
+@query("redact_json", _JSON_SQL)
+def redact_json_query(spark, folder):
+    """The same for JSON text without a known schema."""
+    return _json_redacted(spark, folder, redact_json)
+
+
+@query("redact_json_native", _JSON_SQL)
+def redact_json_native_query(spark, folder):
+    """The same by built-in functions alone."""
+    return _json_redacted(spark, folder, redact_json_native)
+
+
 @query(
     "redact_exact",
     f"""SELECT event_id, '{MASK}' AS card_number, '{MASK}' AS token, event_type AS my_token FROM events""",
