@@ -49,7 +49,25 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query("op7_chat_format")
+_CONTROL = r"""'([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g'"""
+
+_CHAT_SQL = rf"""WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+messages AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows),
+marked AS (
+  SELECT *, length(regexp_replace(text, {_CONTROL})) AS escaped,
+    length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), {_CONTROL})) AS named
+  FROM messages)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(12 + named + 1 + escaped + 11) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id"""
+
+
+@query("op7_chat_format", _CHAT_SQL)
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame(
@@ -70,7 +88,22 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-@query("op10_substring_dedup")
+_REPEATS_SQL = r"""WITH split AS (
+  SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT nr, unnest(range(1, len(words) - 33)) AS first, words FROM split WHERE len(words) >= 35),
+windows AS (SELECT nr, first, sha256(array_to_string(list_slice(words, first, first + 34), ' ')) AS said FROM starts),
+repeated AS (SELECT nr, first FROM windows QUALIFY count(*) OVER (PARTITION BY said) > 1),
+gone AS (SELECT DISTINCT nr, unnest(range(first, first + 35)) AS i FROM repeated),
+placed AS (SELECT nr, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+kept AS (
+  SELECT p.nr, count(*) AS n_kept, string_agg(p.word, ' ' ORDER BY p.i) AS said
+  FROM placed p ANTI JOIN gone g ON p.nr = g.nr AND p.i = g.i GROUP BY p.nr)
+SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(len(s.words) - coalesce(k.n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.said, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.nr = k.nr"""
+
+
+@query("op10_substring_dedup", _REPEATS_SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return passages.remove_repeats(docs, passages.digest, "n_words long, n_removed long, kept_sha256 string")
