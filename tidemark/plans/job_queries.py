@@ -11,13 +11,13 @@ from tidemark.model import RESOURCES
 from tidemark.operators import reports
 from tidemark.operators.rules import RULES
 from tidemark.plans.event_queries import _ACCEPTED, _land
-from tidemark.plans.inputs import LOGS, RESULTS, ledger, logs, order_records, table
+from tidemark.plans.inputs import LEDGER, LOGS, RESULTS, ledger, logs, order_records, table
 from tidemark.plans.ledger_queries import KEEP, _EXPIRED_LOGS, _results, now
 from tidemark.plans.record_queries import _projected
 from tidemark.plans.registry import query
 from tidemark.plans.sync import SyncSpec, Warehouse, run_sync
 from tidemark.scratch import scratch_folder
-from tidemark.sinks.tables import append_rows, read_days, retain_days
+from tidemark.sinks.tables import append_rows, compact_rows, read_days, retain_days
 from tidemark.sources.pages import explode_pages, project_records, rejected
 from tidemark.streaming.sync import start_sync_stream
 
@@ -222,6 +222,28 @@ def retention_stored(spark, folder):
     return rows.select("event_id", F.lit(again["days"] + again["rows"]).alias("second_time"))
 
 
+@query(
+    "ledger_compacted",
+    f"""WITH {LEDGER} SELECT sync_id, pipeline, resource, status, started_at, fetched_count, duration_seconds,
+      true AS fewer_files, 0 AS second_time FROM ledger""",
+)
+def ledger_compacted(spark, folder):
+    """A ledger appended in eight parts, its small files written together; a second time none is left to take."""
+    path, by = scratch_folder(spark, "many-files"), ("pipeline", "resource")
+    rows = ledger(spark, folder)
+    for part in range(8):
+        append_rows(rows.filter(F.pmod(F.xxhash64("sync_id"), F.lit(8)) == part), path, by=by)
+    schema = ", ".join(f"{c} {kind}" for c, kind in rows.dtypes)
+    before = len(spark.read.parquet(path).inputFiles())
+    compact_rows(spark, path, schema, by)
+    again = compact_rows(spark, path, schema, by)
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.select(
+        "sync_id", "pipeline", "resource", "status", "started_at", "fetched_count", "duration_seconds",
+        F.lit(len(stored.inputFiles()) < before).alias("fewer_files"), F.lit(again).alias("second_time"),
+    )
+
+
 def now_value(spark) -> datetime:
     return spark.range(1).select(now().cast("timestamp_ntz").alias("t")).first().t.replace(tzinfo=timezone.utc)
 

@@ -21,7 +21,7 @@ from tidemark.operators.unnest import variant_rows
 from tidemark.scratch import remove_folder
 from tidemark.sinks.bucketed import BucketedTable
 from tidemark.sinks.state import StateTable
-from tidemark.sinks.tables import append_rows, recover_table, retain_rows
+from tidemark.sinks.tables import append_rows, compact_rows, recover_table, retain_rows
 from tidemark.sinks.versions import Checkpoints
 from tidemark.sources.incremental import read_incremental
 from tidemark.sources.pages import accepted, explode_pages, project_records, read_pages
@@ -103,6 +103,15 @@ class Warehouse:
             "results": retain_rows(results, self.results_path, keep_rows(results, expired_results(now, keep))),
         }
 
+    def compact(self) -> dict[str, int]:
+        """Write the small files that each run adds to ledger and results together; returns how many were taken."""
+        return {
+            "runs": compact_rows(
+                self.spark, self.ledger_path, f"{LEDGER_SCHEMA}, entry_at timestamp", ("pipeline", "resource")
+            ),
+            "results": compact_rows(self.spark, self.results_path, RESULT_SCHEMA),
+        }
+
     def _appended(self, path: str, schema: str) -> DataFrame:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):

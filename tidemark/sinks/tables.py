@@ -35,6 +35,8 @@ def expired_days(rows: DataFrame, cutoff: date) -> DataFrame:
     return rows.select("log_date").filter(F.col("log_date") < F.lit(cutoff)).distinct()
 
 
+#: Bytes below which a file of an append-only table is a small one.
+SMALL_FILE = 32 << 20
 #: Before the name of a table that is being rewritten.
 NEW, OLD = ".new.", ".old."
 
@@ -56,17 +58,21 @@ class _Place:
         )
         self.spark, self.fs = spark, self.path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def files(self, folder) -> list[str]:
-        """Data files below a folder, relative to it."""
+    def sizes(self, folder) -> dict[str, int]:
+        """Data files below a folder, by their names relative to it, and their bytes."""
         if not self.fs.exists(folder):
-            return []
-        top, found, listed = self.fs.makeQualified(folder).toUri().getPath(), [], self.fs.listFiles(folder, True)
+            return {}
+        top, found, listed = self.fs.makeQualified(folder).toUri().getPath(), {}, self.fs.listFiles(folder, True)
         while listed.hasNext():
-            name = listed.next().getPath().toUri().getPath()[len(top) + 1:]
+            status = listed.next()
+            name = status.getPath().toUri().getPath()[len(top) + 1:]
             if not any(part.startswith(("_", ".")) for part in name.split("/")):
-                found.append(name)
+                found[name] = status.getLen()
         return found
 
+    def files(self, folder) -> list[str]:
+        return list(self.sizes(folder))
+
     def _move(self, start, end) -> None:
         self.fs.mkdirs(end.getParent())
         if not self.fs.rename(start, end):
@@ -145,6 +151,30 @@ def retain_rows(rows: DataFrame, path: str, kept: DataFrame, by: tuple[str, ...]
     return gone
 
 
+def compact_rows(
+    spark: SparkSession, path: str, schema: str | None = None, by: tuple[str, ...] = (), small: int = SMALL_FILE
+) -> int:
+    """Write the small files of an append-only table together, folder by folder; returns how many were taken.
+
+    Only folders with two small files or more are read; all other files are moved along unread. A rewrite that dies is
+    finished or forgotten like one of ``retain_rows``, and files appended meanwhile stay as they are. ``schema`` keeps
+    partition columns from being guessed. The driver holds the list of the table's files.
+    """
+    place = _Place(spark, path)
+    place.recover()
+    folders: dict[str, list[str]] = {}
+    for name, size in place.sizes(place.path).items():
+        if size < small:
+            folders.setdefault(name.rpartition("/")[0], []).append(name)
+    taken = [name for names in folders.values() if len(names) > 1 for name in names]
+    if taken:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        rows = reader.option("basePath", path).parquet(*(f"{path}/{name}" for name in taken))
+        place.write_new(rows.hint("rebalance", *by), taken, by)
+        place.swap()
+    return len(taken)
+
+
 def retain_days(spark: SparkSession, path: str, as_of: datetime, keep: Retention = Retention()) -> dict[str, int]:
     """Drop expired rows of a day-partitioned log table.
 
