@@ -208,7 +208,11 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
         "phrase-documents",
     )
     candidates = met.filter(F.col("recurring").isNotNull())
-    windows = candidates.select("_key", "text", "recurring").mapInPandas(_windows, "window long, _key long, at int")
+    # Hashed once and read twice: to be counted, and to find what the counted ones cover.
+    windows = stored(
+        candidates.select("_key", "text", "recurring").mapInPandas(_windows, "window long, _key long, at int"),
+        "phrase-windows",
+    )
     repeated = windows.groupBy("window").count().filter("count > 1").select("window")
     starts = (
         windows.join(repeated, "window", "left_semi")
