@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import WORD, word_bytes, words
-from tidemark.scratch import stored
+from tidemark.scratch import remove_folder, scratch_folder, stored
 
 WINDOW = 35
 PHRASE = 8
@@ -181,7 +181,10 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
     keyed = docs.select(
         F.struct(*keep).alias("_doc"), "text", F.xxhash64("doc_id", "text").alias("_key")
     )
-    phrases = stored(keyed.select("_key", "text").mapInPandas(_phrases, "phrase long, _key long, at int"), "phrases")
+    spark, kinds = docs.sparkSession, "phrase long, _key long, at int"
+    folder = scratch_folder(spark, "phrases")
+    keyed.select("_key", "text").mapInPandas(_phrases, kinds).write.parquet(folder)
+    phrases = spark.read.schema(kinds).parquet(folder)
     recurring = phrases.groupBy("phrase").count().filter("count > 1").select("phrase")
     places = (
         phrases.join(recurring, "phrase", "left_semi")
@@ -207,6 +210,8 @@ def remove_repeats(docs: DataFrame, render: Render, columns: str, keep: tuple[st
         .mapInPandas(clean, f"_key long, _doc {doc_type}, recurring array<int>, text string, {rendered}"),
         "phrase-documents",
     )
+    # The documents hold their recurring phrases now, in a table of their own.
+    remove_folder(spark, folder)
     candidates = met.filter(F.col("recurring").isNotNull())
     # Hashed once and read twice: to be counted, and to find what the counted ones cover.
     windows = stored(
