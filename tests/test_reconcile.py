@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import reconcile as R
 
@@ -58,3 +59,10 @@ def test_repeated_keys_are_compared_as_a_group(spark):
     assert Counter((r.id, r.status) for r in got.collect()) == {(1, "changed"): 1, (2, "changed"): 1}
     assert R.reconcile(one, one, "id", ["a", "b"]).count() == 0
     assert {r.status for r in R.reconcile(one, one.limit(0), "id", ["a", "b"]).collect()} == {"missing"}
+
+
+def test_as_many_stretches_as_are_filters(spark):
+    keys = spark.range(0, 32 * R.MOST_STRETCHES).withColumnRenamed("id", "k")
+    copy = keys.withColumn("a", F.when(F.col("k") % 32 == 5, 1).otherwise(0))
+    got = R.reconcile(keys.withColumn("a", F.lit(0)), copy, "k", ["a"], narrow=16)
+    assert {(r.k, r.status) for r in got.collect()} == {(32 * n + 5, "changed") for n in range(R.MOST_STRETCHES)}

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 #: Keys in a narrow range, and narrow ranges in a wide one.
 NARROW, WIDE = 1 << 10, 1 << 8
-#: Up to so many stretches of keys are filters that reach the files; beyond it ranges are joined.
+#: Up to so many ranges are looked up in filters that reach the files; beyond it ranges are joined.
 MOST_STRETCHES = 500
+#: So many stretches are conditions of their own; more are merged into wider ones first.
+MOST_FILTERS = 32
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -62,15 +64,30 @@ def _stretches(ranges: list[int]) -> list[tuple[int, int]]:
     return found
 
 
+def _merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """At most ``MOST_FILTERS`` stretches that hold all the given ones, made by closing the smallest gaps."""
+    gaps = sorted(range(1, len(stretches)), key=lambda n: stretches[n - 1][1] - stretches[n][0])
+    begins = [0, *sorted(gaps[:MOST_FILTERS - 1])]
+    ends = [*begins[1:], len(stretches)]
+    return [(stretches[a][0], stretches[b - 1][1]) for a, b in zip(begins, ends)]
+
+
 def within(rows: DataFrame, key: str, ranges: DataFrame, narrow: int = NARROW) -> DataFrame:
-    """The rows whose key lies in one of the ranges."""
+    """The rows whose key lies in one of the ranges.
+
+    Hundreds of stretches in one condition are deeper than the planner's stack and more than is compiled: a few wider
+    ones reach the files, and of the rows that these let through the range is looked up in a set.
+    """
     few = [r[0] for r in ranges.limit(MOST_STRETCHES + 1).collect()]
     if len(few) > MOST_STRETCHES:
         return rows.withColumn("_range", F.floor(F.col(key) / narrow)).join(
             ranges.select(F.col("range").alias("_range")), "_range", "left_semi"
         ).drop("_range")
-    stretches = [(F.col(key) >= a * narrow) & (F.col(key) < (b + 1) * narrow) for a, b in _stretches(few)]
-    return rows.filter(reduce(lambda x, y: x | y, stretches, F.lit(False)))
+    if not few:
+        return rows.filter(F.lit(False))
+    stretches = [(F.col(key) >= a * narrow) & (F.col(key) < (b + 1) * narrow) for a, b in _merged(_stretches(few))]
+    number = F.floor(F.col(key) / narrow).cast("long")
+    return rows.filter(reduce(lambda x, y: x | y, stretches)).filter(number.isin(few))
 
 
 def reconcile(
