@@ -38,3 +38,18 @@ def test_counters_over_restarts(spark, tmp_path):
     before = spark.read.parquet(f"{out}/batch={last}").collect()
     spark.createDataFrame(before, spark.read.parquet(f"{out}/batch={last}").schema).write.mode("overwrite").parquet(f"{out}/batch={last}")
     assert Counter((r.status, r.day, r.runs, r.records_upserted, int(r.seconds)) for r in read_metrics(spark, out).collect()) == found
+
+
+def test_parts_of_the_state_have_tasks_of_their_own(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = [("p", f"r{n}", "incremental", "success", START, 1, Decimal(1)) for n in range(50)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(folder)
+    arriving = spark.readStream.schema(SCHEMA).parquet(folder)
+    job = start_metrics_stream(arriving, str(tmp_path / "out"), str(tmp_path / "state"))
+    job.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(str(job.runId)) for s in tracker.getJobInfo(j).stageIds]
+    found = [tracker.getStageInfo(s) for s in stages]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts in [s.numTasks for s in found if s], "a task for each part"
+    assert read_metrics(spark, str(tmp_path / "out")).count() == 50

@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.ledger import TABLE
 
 GROUP = (*TABLE, "mode", "status", "day")
+#: Files of a batch, at most.
+FILES = 4
 
 
 def daily_counters(runs: DataFrame, at: str = "started_at", late: str = "1 day") -> DataFrame:
@@ -30,7 +32,8 @@ def start_metrics_stream(runs: DataFrame, path: str, checkpoint: str, **options:
     after a crash replaces its folder."""
 
     def save(changed: DataFrame, batch: int) -> None:
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        # Dealt out anew: coalesced, all parts of the state would be worked on, and held, by one task.
+        changed.repartition(FILES, *GROUP).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     return (
         daily_counters(runs, **options).writeStream.outputMode("update").foreachBatch(save)
