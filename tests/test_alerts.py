@@ -68,6 +68,27 @@ def test_slices_give_the_same_result(spark, slice_rows):
     assert sent(A.dedupe_alerts(frame(spark, rows), slice_rows=slice_rows)) == brute_force(rows)
 
 
+def test_a_task_holds_a_batch_of_a_slice(spark, monkeypatch):
+    def make_bounded(*limits, make=A.make_replay):
+        replay = make(*limits)
+
+        def bounded(times, keys, sends):
+            if len(times) > 40:
+                raise ValueError("more than a batch")
+            return replay(times, keys, sends)
+
+        return bounded
+
+    monkeypatch.setattr(A, "make_replay", make_bounded)
+    rows = random_alerts()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 40)
+    try:
+        for slice_rows in (250, 10**6):
+            assert sent(A.dedupe_alerts(frame(spark, rows), slice_rows=slice_rows)) == brute_force(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_a_minute_can_be_cut(spark):
     rows = [("p", f"k{n % 7}", n / 10) for n in range(200)] + [("p", "k1", 400 + n / 10) for n in range(50)]
     assert sent(A.dedupe_alerts(frame(spark, rows), slice_rows=80)) == brute_force(rows)

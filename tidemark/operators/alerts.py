@@ -122,7 +122,7 @@ def dedupe_alerts(
     last = slices.agg(F.max("_slice")).first()[0] or 0
 
     schema = T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())])
-    step = _slice_step(alerts.columns, key, at, alert_id, make_replay(quiet_s, rate_s, max_per_rate))
+    step = _slice_step(alerts.columns, pipeline, key, at, alert_id, make_replay(quiet_s, rate_s, max_per_rate))
     spark = alerts.sparkSession
     folder = scratch_folder(spark, "alerts")
     same = F.col(pipeline).eqNullSafe(F.col("_p")) & (F.col("_bucket") == F.col("_b"))
@@ -135,7 +135,11 @@ def dedupe_alerts(
         if n > 0:
             carried = spark.read.schema(alerts.schema).parquet(f"{folder}/sends/{n - 1}")
             rows = rows.unionByName(carried.withColumn("_sent_before", F.lit(True)))
-        rows.groupBy(pipeline).applyInPandas(step, schema).write.parquet(f"{folder}/done/{n}")
+        # Sorted by Spark, which spills, a slice goes through Python a batch at a time.
+        dealt = rows.repartition(pipeline).sortWithinPartitions(
+            pipeline, F.col("_sent_before").desc(), at, F.col(alert_id).asc_nulls_last()
+        )
+        dealt.mapInPandas(step, schema).write.parquet(f"{folder}/done/{n}")
         if n < last:
             done = spark.read.schema(schema).parquet(f"{folder}/done/{n}")
             sends = done.filter(F.col("sent") & (F.col(key) != "")).drop("sent")
@@ -146,13 +150,26 @@ def dedupe_alerts(
     return spark.read.schema(schema).parquet(*(f"{folder}/done/{m}" for m in range(last + 1)))
 
 
-def _slice_step(columns: list[str], key: str, at: str, alert_id: str, replay: Callable) -> Callable:
-    def step(pdf):
-        pdf = pdf.sort_values([at, alert_id], kind="stable")
-        micros = pdf[at].astype("datetime64[us]").astype("int64")
-        old = pdf["_sent_before"].to_numpy(dtype=bool)
-        sends = list(zip(micros[old].tolist(), pdf[key][old].tolist()))
-        new = pdf.loc[~old, columns]
-        return new.assign(sent=replay(micros[~old].to_numpy(), new[key].tolist(), sends))
+def _slice_step(columns: list[str], pipeline: str, key: str, at: str, alert_id: str, replay: Callable) -> Callable:
+    """Whole pipelines, each in order with its earlier sends first: between batches the recent sends are kept."""
+
+    def step(batches):
+        import pandas as pd
+
+        last, sends = None, []
+        for pdf in batches:
+            names = pdf[pipeline]
+            begins = names.ne(names.shift()) & ~(names.isna() & names.shift().isna())
+            for _, part in pdf.groupby(begins.cumsum(), sort=False):
+                name = part[pipeline].iloc[0]
+                name = (None,) if pd.isna(name) else name
+                if name != last:
+                    last, sends = name, []
+                micros = part[at].astype("datetime64[us]").astype("int64")
+                old = part["_sent_before"].to_numpy(dtype=bool)
+                sends.extend(zip(micros[old].tolist(), part[key][old].tolist()))
+                new = part.loc[~old, columns]
+                if len(new):
+                    yield new.assign(sent=replay(micros[~old].to_numpy(), new[key].tolist(), sends))
 
     return step
