@@ -15,7 +15,7 @@ from tidemark.operators import alerts as A
 from tidemark.operators import rules
 from tidemark.operators.logs import log_rows
 from tidemark.plans.inputs import (
-    AS_OF_TEXT, BEATS, LEDGER, RESULTS, at, beats, ledger, order_records, table,
+    AS_OF_TEXT, BEATS, LEDGER, RESULTS, as_records, at, beats, ledger, table,
 )
 from tidemark.plans.registry import query
 from tidemark.plans.sync import SyncSpec, Warehouse, run_sync
@@ -354,11 +354,22 @@ def stream_logs(spark, folder):
 
 def _land(records, folder, field="orders"):
     """Pages of one line each."""
-    pages = records.groupBy(F.floor(F.col("o_orderkey") / 250).alias("_page")).agg(
-        F.array_join(F.collect_list("_raw"), ",").alias("body")
-    )
+    _write_pages(records.withColumn("_page", _PAGE), folder, field)
+
+
+#: The page of a record.
+_PAGE = F.floor(F.col("o_orderkey") / 250)
+
+
+def _land_orders(orders, folder):
+    """The same for rows of orders: these are dealt out by page before they become JSON, which is many times larger."""
+    _write_pages(as_records(orders.withColumn("_page", _PAGE).repartition("_page"), "_page"), folder)
+
+
+def _write_pages(records, folder, field="orders"):
+    pages = records.groupBy("_page").agg(F.array_join(F.collect_list("_raw"), ",").alias("body"))
     value = F.concat(F.lit(f'{{"{field}":['), "body", F.lit("]}"))
-    pages.select(value.alias("value")).write.text(folder)
+    pages.select(value.alias("value")).write.option("compression", "gzip").text(folder)
 
 
 _ACCEPTED = "(o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW')"
@@ -368,7 +379,7 @@ _ACCEPTED = "(o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW')"
 def stream_upsert(spark, folder):
     """Landed pages, merged in micro-batches into a state table."""
     work = scratch_folder(spark, "sync-stream")
-    _land(order_records(spark, folder), f"{work}/landing")
+    _land_orders(table(spark, folder, "orders"), f"{work}/landing")
     warehouse = Warehouse(spark, f"{work}/warehouse", buckets=4)
     start_sync_stream(
         warehouse, "shop", "orders", f"{work}/landing", f"{work}/checkpoint", one_per_file=False
@@ -386,11 +397,10 @@ def stream_upsert(spark, folder):
 def sync_job(spark, folder):
     """Two runs into a new warehouse: everything, then a full snapshot that lacks the dearest orders."""
     work = scratch_folder(spark, "sync-job")
-    records = order_records(spark, folder)
-    _land(records, f"{work}/landing/1")
-    price = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    cheaper = records.join(price, "o_orderkey").filter(F.col("o_totalprice") <= 490000)
-    _land(cheaper, f"{work}/landing/2")
+    orders = table(spark, folder, "orders")
+    _land_orders(orders, f"{work}/landing/1")
+    price = orders.select("o_orderkey", F.col("o_totalprice").alias("_price"))
+    _land_orders(orders.join(price, "o_orderkey").filter(F.col("_price") <= 490000), f"{work}/landing/2")
     warehouse = Warehouse(spark, f"{work}/warehouse", buckets=4)
     for n, mode in ((1, "incremental"), (2, "full_refresh")):
         spec = SyncSpec("shop", "orders", mode, sync_id=f"run-{n}")

@@ -10,8 +10,8 @@ from tidemark.functions.redact import CASE_PARTNERS, redact_json, redact_text
 from tidemark.model import RESOURCES
 from tidemark.operators import reports
 from tidemark.operators.rules import RULES
-from tidemark.plans.event_queries import _ACCEPTED, _land
-from tidemark.plans.inputs import LEDGER, LOGS, RESULTS, ledger, logs, order_records, table
+from tidemark.plans.event_queries import _ACCEPTED, _land, _land_orders
+from tidemark.plans.inputs import LEDGER, LOGS, RESULTS, ledger, logs, table
 from tidemark.plans.ledger_queries import KEEP, _EXPIRED_LOGS, _results, now
 from tidemark.plans.record_queries import _projected
 from tidemark.plans.registry import query
@@ -40,11 +40,11 @@ def _warehouse(spark, work):
 def broken_page_fails(spark, folder):
     """A page that was cut off fails the run and leaves no checkpoint; landed whole, all of it is stored."""
     work = scratch_folder(spark, "broken-page")
-    _land(order_records(spark, folder), f"{work}/whole")
+    _land_orders(table(spark, folder, "orders"), f"{work}/whole")
     pages = spark.read.text(f"{work}/whole")
     half = F.substring("value", F.lit(1), (F.length("value") / 2).cast("int"))
     cut = F.when(F.xxhash64("value") == pages.agg(F.min(F.xxhash64("value"))).scalar(), half).otherwise(F.col("value"))
-    pages.select(cut.alias("value")).write.text(f"{work}/cut")
+    pages.select(cut.alias("value")).write.option("compression", "gzip").text(f"{work}/cut")
     warehouse = _warehouse(spark, work)
     broken = _run(warehouse, f"{work}/cut", "run-1")
     cursors = warehouse.checkpoints.read().count()
@@ -65,12 +65,12 @@ def broken_page_fails(spark, folder):
 def sync_guard_repeats(spark, folder):
     """Half of the orders, landed twice, are half of the orders: the guard stops the sweep."""
     work = scratch_folder(spark, "guard-repeats")
-    records = order_records(spark, folder)
-    _land(records, f"{work}/1")
-    good = table(spark, folder, "orders").filter(_ACCEPTED).select("o_orderkey")
-    half = records.join(good, "o_orderkey").filter(F.col("o_orderkey") % 2 == 0)
-    _land(half, f"{work}/2/a")
-    _land(half, f"{work}/2/b")
+    orders = table(spark, folder, "orders")
+    _land_orders(orders, f"{work}/1")
+    good = orders.filter(_ACCEPTED).select("o_orderkey")
+    half = orders.join(good, "o_orderkey").filter(F.col("o_orderkey") % 2 == 0)
+    _land_orders(half, f"{work}/2/a")
+    _land_orders(half, f"{work}/2/b")
     warehouse = _warehouse(spark, work)
     _run(warehouse, f"{work}/1", "run-1")
     second = _run(warehouse, f"{work}/2", "run-2", "full_refresh", 2)
@@ -83,10 +83,10 @@ def sync_guard_repeats(spark, folder):
 
 def _two_streams(spark, folder, work):
     """Two streams into one table, with folders of their own; pages lie in folders by day."""
-    records = order_records(spark, folder)
+    orders = table(spark, folder, "orders")
     warehouse = _warehouse(spark, work)
     for n in (0, 1):
-        _land(records.filter(F.col("o_orderkey") % 2 == n), f"{work}/landing-{n}/2026-04-0{n + 1}")
+        _land_orders(orders.filter(F.col("o_orderkey") % 2 == n), f"{work}/landing-{n}/2026-04-0{n + 1}")
         start_sync_stream(
             warehouse, "shop", "orders", f"{work}/landing-{n}", f"{work}/checkpoint-{n}", one_per_file=False
         ).awaitTermination()
@@ -135,7 +135,7 @@ def stream_ledger(spark, folder):
 def checkpoint_two_tables(spark, folder):
     """Customers are synced while orders are on their way: both checkpoints stay."""
     work = scratch_folder(spark, "two-checkpoints")
-    _land(order_records(spark, folder), f"{work}/orders")
+    _land_orders(table(spark, folder, "orders"), f"{work}/orders")
     people = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_orderkey"),
         F.to_json(F.struct(F.col("c_custkey").alias("id"), F.lit("2024-01-05T00:00:00Z").alias("updated_at"))).alias("_raw"),
@@ -159,10 +159,10 @@ def checkpoint_two_tables(spark, folder):
 
 def _two_runs(spark, folder, name):
     work = scratch_folder(spark, name)
-    records = order_records(spark, folder)
-    _land(records, f"{work}/1")
-    price = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    _land(records.join(price, "o_orderkey").filter(F.col("o_totalprice") <= 490000), f"{work}/2")
+    orders = table(spark, folder, "orders")
+    _land_orders(orders, f"{work}/1")
+    price = orders.select("o_orderkey", F.col("o_totalprice").alias("_price"))
+    _land_orders(orders.join(price, "o_orderkey").filter(F.col("_price") <= 490000), f"{work}/2")
     warehouse = _warehouse(spark, work)
     _run(warehouse, f"{work}/1", "run-1")
     _run(warehouse, f"{work}/2", "run-2", "full_refresh", 2)
@@ -269,7 +269,7 @@ def rejected_pages(spark, folder):
     """With ``broken="reject"`` a third of the pages are a rejected record each: half of them are cut off, the others are
     envelopes of another kind that look like a record themselves."""
     work = scratch_folder(spark, "rejected-pages")
-    _land(order_records(spark, folder), work)
+    _land_orders(table(spark, folder, "orders"), work)
     first = F.regexp_extract("value", r'"order_number":"#(\d+)"', 1).cast("bigint")
     pages = spark.read.text(work).withColumn("is_cut", F.floor(first / 250) % 3 == 0)
     other = F.lit('{"orders": {"id": 1}, "id": 5, "updated_at": "2023-01-01T00:00:00Z"}')
