@@ -293,3 +293,44 @@ def test_retention_of_stored_runs_and_results(shop):
     assert shop.warehouse.retain(later) == {"runs": 2, "results": 8}
     assert [r.sync_id for r in shop.warehouse.ledger().collect()] == ["run-2"]
     assert shop.warehouse.retain(later) == {"runs": 0, "results": 0}
+
+
+def test_pages_are_landed_compressed_with_the_same_records(spark, tmp_path):
+    from tidemark.plans.event_queries import _land_orders
+    from tidemark.plans.inputs import as_records
+    from tidemark.sources.pages import explode_pages, read_pages
+
+    rows = [(n if n % 7 else None, n, "PO"[n % 2], n / 4, datetime(2000, 1, 1), "5-LOW") for n in range(600)]
+    names = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = spark.createDataFrame([*rows, rows[1]], names)
+    _land_orders(orders, str(tmp_path / "in"))
+    files = [p.name for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
+    assert files and all(name.endswith(".gz") for name in files)
+    got = explode_pages(read_pages(spark, str(tmp_path / "in"), False), RESOURCES["orders"]).select("_raw")
+    assert sorted(r._raw for r in got.collect()) == sorted(r._raw for r in as_records(orders).collect())
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_what_arrives_is_written_once(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr("tidemark.sinks.state.FEW_LEFT", few)
+    wrote = []
+    write = StateTable._write
+
+    def noted(self, rows, folder, buckets, mode):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        wrote.append((mode, rows.count(), "Window" in plan))
+        write(self, rows, folder, buckets, mode)
+
+    monkeypatch.setattr(StateTable, "_write", noted)
+    state = StateTable(spark, str(tmp_path), RESOURCES["orders"], 2)
+    rows = lambda ids: spark.createDataFrame([(i, START, "{}") for i in ids], "id bigint, updated_at timestamp, _raw string")
+    merge = lambda ids, name, **more: state.merge(rows(ids), name, F.lit(START), full_snapshot=True, **more)
+    assert merge(range(100), "a", unique=True).rows_after == 100
+    swept = merge(range(2, 100), "b", unique=True)
+    assert (swept.upserted, swept.soft_deleted, swept.rows_after) == (98, 2, 98)
+    repeated = merge([*range(2, 100), 5, 5], "c")
+    assert (repeated.upserted, repeated.soft_deleted, repeated.rows_after) == (98, 0, 98)
+    assert state.read().count() == 100 and state.active().count() == 98
+    assert wrote == [
+        ("overwrite", 100, False), ("overwrite", 98, False), ("append", 2, False), ("overwrite", 98, True), ("append", 2, False),
+    ]

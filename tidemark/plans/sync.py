@@ -198,7 +198,7 @@ def _load(
     wanted = projected if full or continuous else read_incremental(projected, cursor, late_rows=spec.late_rows)
     # JSON is read once; counting and merging work on the typed copy.
     landed = warehouse.staging(spec.sync_id)
-    wanted.write.mode("overwrite").parquet(landed)
+    wanted.write.mode("overwrite").option("compression", "zstd").parquet(landed)
     rows = spark.read.parquet(landed)
 
     measures = load_counts()
@@ -211,6 +211,8 @@ def _load(
     counts = rows.agg(*measures).first()
     result.skipped_invalid = counts.skipped
     good = accepted(spark.read.parquet(landed))
+    # A look at the keys alone often spares a shuffle of whole rows.
+    unique = good.groupBy(*table.key).count().filter("count > 1").isEmpty()
     merged = warehouse.state(spec.pipeline, spec.resource).merge(
         good,
         spec.sync_id,
@@ -219,6 +221,7 @@ def _load(
         full_snapshot=full,
         rejected=0 if table.guard_on_accepted else counts.skipped,
         max_delete_percent=limits.delete_max,
+        unique=unique,
     )
     # A key that was landed several times is one record.
     result.upserted_count, result.soft_deleted_count = merged.upserted, merged.soft_deleted

@@ -123,6 +123,7 @@ class BucketedTable:
         rejected: int = 0,
         max_delete_percent: float = 5.0,
         sweep_unmarked: bool = False,
+        unique: bool = False,
     ) -> MergeResult:
         """Merge accepted rows, as ``StateTable.merge`` does: one per key, stamped with the run; a full snapshot also
         sweeps the rows it lacks, if the guard agrees; a run that the newest version holds is not merged again.
@@ -130,13 +131,13 @@ class BucketedTable:
         number = self.versions.claim()
         try:
             return self._merge(
-                number, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+                number, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked, unique
             )
         finally:
             self.versions.release(number)
 
     def _merge(
-        self, number, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+        self, number, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked, unique
     ) -> MergeResult:
         key, merges = self.key, self._merges()
         before = merges[-1].active if merges else 0
@@ -148,7 +149,7 @@ class BucketedTable:
         staged_path = f"{self.root}/staged/{attempt}"
         for k in key:
             rows = rows.filter(F.col(k).isNotNull())
-        latest = latest_per_key(rows, key, order)
+        latest = rows if unique else latest_per_key(rows, key, order)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in latest.columns]
         # Counted as they are written.
         seen = Observation()

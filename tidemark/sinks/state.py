@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,8 @@ from tidemark.sinks.versions import VersionedTable, finished_versions
 
 #: A bucket is compacted when its layers reach this part of its base, or this number.
 LAYER_SHARE, MOST_LAYERS = 0.25, 8
+#: Up to so many rows that a snapshot lacks are looked up by broadcast keys, and stored rows are not shuffled for them.
+FEW_LEFT = 1_000_000
 
 _LIST_SCHEMA = "bucket int, folder string, row_count bigint, active_count bigint, buckets int, sync_id string"
 
@@ -84,24 +86,25 @@ class StateTable:
         rejected: int = 0,
         max_delete_percent: float = 5.0,
         sweep_unmarked: bool = False,
+        unique: bool = False,
     ) -> MergeResult:
         """Merge accepted rows; a full snapshot also sweeps the rows it lacks, if the guard agrees.
 
         The guard compares what is stored with the keys that arrived, each counted once, and ``rejected``
         records that were there but could not be used.
         The rows are stamped with this run, whatever they carried before, so that the sweep spares them.
-        A ``sync_id`` that the newest version already holds is not merged again.
+        A ``sync_id`` that the newest version already holds is not merged again. ``unique`` says that no key arrives twice.
         """
         claimed = self.versions.claim()
         try:
             return self._merge(
-                claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+                claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked, unique
             )
         finally:
             self.versions.release(claimed)
 
     def _merge(
-        self, claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked
+        self, claimed, rows, sync_id, as_of, order, full_snapshot, rejected, max_delete_percent, sweep_unmarked, unique
     ) -> MergeResult:
         key = list(self.resource.key)
         version = claimed - 1
@@ -110,18 +113,18 @@ class StateTable:
         if files and files[0].sync_id == sync_id:
             return MergeResult(before, before, 0, 0)
         buckets = files[0].buckets if files else self._buckets
-        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
-        # The reduced rows are written once: they are read several times below, and as files their
-        # size is known, so that the planner broadcasts them only if they are small.
-        staged_path = f"{self.root}/staged/{version + 1}"
+        # What arrives is written once, where it stays. It is read several times below, and as files its
+        # size is known, so that the planner broadcasts it only if it is small.
+        folder = f"data/v={version + 1}"
         rows = rows.withColumns({"_sync_id": F.lit(sync_id), "_synced_at": as_of.cast("timestamp")})
-        latest_per_key(rows, key, order).withColumn("_bucket", bucket).write.mode("overwrite").parquet(
-            staged_path
-        )
-        staged = self.spark.read.parquet(staged_path)
+        seen = Observation()
+        latest = rows if unique else latest_per_key(rows, key, order)
+        latest = latest.observe(seen, F.count(F.lit(1)).alias("rows"))
+        self._write(upsert(self._load([]), latest, key), folder, buckets, "overwrite")
+        upserted = seen.get["rows"]
+        staged = self._written(folder)
         arriving = {r["_bucket"]: r["count"] for r in staged.groupBy("_bucket").count().collect()}
-        upserted = sum(arriving.values())
 
         sweeping = full_snapshot and self.resource.soft_delete
         touched = {f.bucket for f in files} | set(arriving) if sweeping else set(arriving)
@@ -131,6 +134,7 @@ class StateTable:
         if sweeping:
             left = old.select(*key, "_deleted_at", "_sync_id").join(staged.select(*key), key, "left_anti")
             counts = left.agg(
+                F.count("*").alias("all"),
                 F.count_if(is_active(left)).alias("active"),
                 F.count_if(is_stale(sync_id, sweep_unmarked)).alias("stale"),
             ).first()
@@ -144,8 +148,8 @@ class StateTable:
                 old = self._load([f for f in files if f.bucket in touched])
         if not touched:
             self._publish(files, "", touched, buckets, sync_id, claimed)
-            remove_folder(self.spark, staged_path)
-            return MergeResult(before, before, 0, 0, aborted)
+            remove_folder(self.spark, f"{self.root}/{folder}")
+            return MergeResult(before, before, upserted, 0, aborted)
 
         on_top = set() if allowed and counts.stale else self._on_top(files, arriving)
         gained = 0
@@ -157,20 +161,32 @@ class StateTable:
             met = known.filter(is_active(known)).join(staged.select(*key, "_bucket"), key).groupBy("_bucket").count()
             for found in met.collect():
                 gained[found["_bucket"]] -= found["count"]
-            old = self._load([f for f in files if f.bucket in touched - on_top])
-        merged = upsert(old, staged, key)
-        if sweeping:
-            merged = sweep(merged, sync_id, as_of, sweep_unmarked, F.lit(allowed))
-        folder = f"data/v={version + 1}"
-        # Rebalancing splits big buckets over several tasks and packs small ones together.
-        merged.withColumn("_bucket", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy(
-            "_bucket"
-        ).parquet(f"{self.root}/{folder}")
+        below = [f for f in files if f.bucket in touched - on_top]
+        if below and not (sweeping and not counts.all):
+            # Rows of the buckets that are written anew and did not arrive come along.
+            old = self._load(below)
+            if sweeping and counts.all <= FEW_LEFT:
+                untouched = old.join(F.broadcast(left.select(*key)), key, "left_semi")
+            else:
+                untouched = old.join(staged.select(*key), key, "left_anti")
+            if sweeping:
+                untouched = sweep(untouched, sync_id, as_of, sweep_unmarked, F.lit(allowed))
+            self._write(untouched, folder, buckets, "append")
         self._publish(files, folder, touched, buckets, sync_id, claimed, gained or {})
-        remove_folder(self.spark, staged_path)
         after = sum(f.active_count for f in self._files(version + 1))
         return MergeResult(before, after, upserted, counts.stale if allowed else 0, aborted)
 
+    def _write(self, rows: DataFrame, folder: str, buckets: int, mode: str) -> None:
+        """Add rows to the buckets of a folder. Rebalancing splits big buckets over several tasks and packs small ones
+        together."""
+        bucket = F.pmod(F.xxhash64(*self.resource.key), F.lit(buckets)).cast("int")
+        rows = rows.select(*self.resource.state_schema.names, bucket.alias("_bucket")).hint("rebalance", "_bucket")
+        rows.write.mode(mode).option("compression", "zstd").partitionBy("_bucket").parquet(f"{self.root}/{folder}")
+
+    def _written(self, folder: str) -> DataFrame:
+        schema = self.resource.state_schema.add("_bucket", T.IntegerType())
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+
     def _on_top(self, files: list, arriving: dict[int, int]) -> set[int]:
         """Buckets to which the arriving rows are added as a layer; the others are written anew."""
         sizes: dict[int, list[int]] = {}
@@ -195,8 +211,7 @@ class StateTable:
         ]
         listed = self.spark.createDataFrame(kept, _LIST_SCHEMA)
         if touched:
-            schema = self.resource.state_schema.add("_bucket", T.IntegerType())
-            written = self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+            written = self._written(folder)
             counted = written.groupBy(F.col("_bucket").alias("bucket")).agg(
                 F.count("*").alias("row_count"), F.count_if(is_active(written)).alias("active_count")
             )
