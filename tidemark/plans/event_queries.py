@@ -354,16 +354,17 @@ def stream_logs(spark, folder):
 
 def _land(records, folder, field="orders"):
     """Pages of one line each."""
-    _write_pages(records.withColumn("_page", _PAGE), folder, field)
+    _write_pages(records.withColumn("_page", _page()), folder, field)
 
 
-#: The page of a record.
-_PAGE = F.floor(F.col("o_orderkey") / 250)
+def _page():
+    """The page of a record. A function, because this module is also imported where no session runs yet."""
+    return F.floor(F.col("o_orderkey") / 250)
 
 
 def _land_orders(orders, folder):
     """The same for rows of orders: these are dealt out by page before they become JSON, which is many times larger."""
-    _write_pages(as_records(orders.withColumn("_page", _PAGE).repartition("_page"), "_page"), folder)
+    _write_pages(as_records(orders.withColumn("_page", _page()).repartition("_page"), "_page"), folder)
 
 
 def _write_pages(records, folder, field="orders"):
