@@ -122,9 +122,10 @@ class StateTable:
         latest = rows if unique else latest_per_key(rows, key, order)
         latest = latest.observe(seen, F.count(F.lit(1)).alias("rows"))
         self._write(upsert(self._load([]), latest, key), folder, buckets, "overwrite")
-        upserted = seen.get["rows"]
         staged = self._written(folder)
         arriving = {r["_bucket"]: r["count"] for r in staged.groupBy("_bucket").count().collect()}
+        # Where nothing arrives, the plan may end before the count and have none.
+        upserted = seen.get["rows"] if arriving else 0
 
         sweeping = full_snapshot and self.resource.soft_delete
         touched = {f.bucket for f in files} | set(arriving) if sweeping else set(arriving)
